@@ -1,0 +1,31 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def estimated_size(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimised plan, in bytes (an upper
+    bound for file scans; None when the plan cannot be inspected)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes().toString()))
+    except Exception:  # pragma: no cover - e.g. Spark Connect
+        return None
+
+
+def sized_broadcast(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
+    """Hint a broadcast when the estimated size is at most ``limit_bytes``.
+
+    Beyond the limit the frame is returned unchanged: the join shuffles, and
+    AQE may still switch to a broadcast from runtime statistics.
+    """
+    limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
+    size = estimated_size(df)
+    if size is not None and size <= limit:
+        return F.broadcast(df)
+    return df
