@@ -93,3 +93,12 @@ ALL = {
     "m_brands": M_BRANDS, "m_products": M_PRODUCTS, "m_customers": M_CUSTOMERS,
     "m_stores": M_STORES, "m_staffs": M_STAFFS,
 }
+
+
+def orders_as_of(name: str, cutoff: str) -> str:
+    """m_orders as it stood at the end of ``cutoff`` (a DATE literal)."""
+    end = f"CAST({cutoff} + INTERVAL 1 DAY AS TIMESTAMP)"
+    return (M_ORDERS.replace("m_orders AS", f"{name} AS", 1)
+            .replace("AND l.l_shipdate >= o.o_orderdate)",
+                     f"AND l.l_shipdate >= o.o_orderdate AND l.l_shipdate < {end})")
+            .replace("FROM orders o\n", f"FROM orders o WHERE o.o_orderdate < {end}\n"))

@@ -27,11 +27,21 @@ PROCESSED_SCHEMA = T.StructType([
 ])
 
 
+def _literal_like(df: DataFrame, col: str, value):
+    """A literal of the column's own type, so the comparison needs no cast
+    on the column and stays pushable into the scan."""
+    lit = F.lit(value)
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return lit.cast(dtype)
+    return lit
+
+
 def slice_since(df: DataFrame, ts_col: str, watermark: dt.datetime | None) -> DataFrame:
     """Rows strictly after the watermark (all rows when there is none)."""
     if watermark is None:
         return df
-    return df.where(F.col(ts_col) > F.lit(watermark))
+    return df.where(F.col(ts_col) > _literal_like(df, ts_col, watermark))
 
 
 def lookback(df: DataFrame, date_col: str, last: dt.date | None,

@@ -14,12 +14,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import dates
+from strata.functions.hashing import raw_row_hash, row_hash
+from strata.functions.text import clean_text as clean_text_col
 from strata.operators import kpis
+from strata.operators.dedup import latest_by_key
+from strata.operators.derived import with_derived
+from strata.operators.merge import merge_upsert
+from strata.operators.projection import typed_projection, with_calendar_split
+from strata.operators.quality import apply_quality, apply_quality_raw
+from strata.operators.watermark import slice_since, watermarks_per_table
 from strata.plans import gold as gold_plan
+from strata.plans import silver as silver_plan
+from strata.registry import TableSpec, load_registry
 from strata.sources import tpch
 
 # Fixed "today" for the open-order columns so results are reproducible.
 AS_OF = dt.date(2002, 1, 1)
+# Incremental scenarios: the previous load of orders stood at the end of
+# ORDERS_CUTOFF and the new load re-reads orders placed in the last
+# RELOAD_DAYS before it; event loads are split at EVENTS_CUTOFF.
+ORDERS_CUTOFF = dt.date(1998, 1, 1)
+RELOAD_DAYS = 90
+EVENTS_CUTOFF = dt.datetime(2024, 1, 15)
+# Last processed date for the look-back scenarios.
+LAST_PROCESSED = dt.date(2001, 6, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +77,210 @@ def agg_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     {"total_revenue": 2, "revenue_share": 10})
 
 
+REG = load_registry()
+ORDER_KEYS = REG.spec("orders").primary_key
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tpch.table(spark, sf_dir, "events")
+
+
+# ---------------------------------------------------------------- rows ----
+def dq_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_items quality rules, discount tightened to 0..0.05 so rows fail."""
+    rules = dict(REG.spec("order_items").data_quality, discount="BETWEEN 0 AND 0.05")
+    return apply_quality(tpch.order_items(spark, sf_dir), rules)
+
+
+def dq_filter_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules on landing text: each ruled column is tested typed."""
+    spec = REG.spec("order_items")
+    spec = TableSpec(spec.name, spec.columns, spec.primary_key, spec.partition_by,
+                     dict(spec.data_quality, discount="BETWEEN 0 AND 0.05"))
+    return apply_quality_raw(tpch.as_text(tpch.order_items(spark, sf_dir)), spec)
+
+
+def raw_row_hash_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tpch.table(spark, sf_dir, "customer")
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    return c.select("c_custkey", raw_row_hash(cols).alias("_row_hash"))
+
+
+def silver_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = tpch.orders(spark, sf_dir)
+    return o.select(*ORDER_KEYS, row_hash(REG.spec("orders").column_names).alias("row_hash"))
+
+
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = tpch.table(spark, sf_dir, "documents")
+    return d.select("doc_id", clean_text_col("text").alias("clean_text"))
+
+
+def clean_text_all_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = tpch.table(spark, sf_dir, "conversations")
+    return d.select("conv_id", "turn", clean_text_col("text", collapse="all").alias("clean_text"))
+
+
+EVENTS_SPEC = TableSpec(
+    name="events",
+    columns={"event_id": "integer", "user_id": "integer", "event_type": "varchar",
+             "value": "integer", "props": "varchar"},
+    primary_key=["event_id"])
+
+
+def typed_projection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as landing text -> registry types; value text rounds to int."""
+    raw = tpch.as_text(_events(spark, sf_dir).select(*EVENTS_SPEC.column_names))
+    return typed_projection(raw, EVENTS_SPEC)
+
+
+def typed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_items as landing text ('23.0' quantities) -> registry types."""
+    raw = tpch.as_text(tpch.order_items(spark, sf_dir))
+    return typed_projection(raw, REG.spec("order_items"))
+
+
+def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _events(spark, sf_dir).select("event_id", "ts")
+    return with_calendar_split(e, "ts").select("event_id", "year", "month")
+
+
+def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest line per (l_orderkey, l_linenumber) by ship date."""
+    li = tpch.table(spark, sf_dir, "lineitem")
+    return latest_by_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+def _event_loads(spark: SparkSession, sf_dir: str):
+    e = _events(spark, sf_dir)
+    first = e.where(F.col("ts") <= F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
+    second = e.where(F.col("ts") > F.lit(EVENTS_CUTOFF).cast("timestamp_ntz"))
+    return e, first, second
+
+
+def watermark_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-only control rows (one per loaded event) -> newest per table."""
+    control = _events(spark, sf_dir).select(F.col("event_type").alias("table_name"),
+                                            F.col("ts").alias("last_watermark"))
+    return watermarks_per_table(control)
+
+
+def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks recorded by the first load (per event type); the slice of the
+    whole table strictly after its type's mark."""
+    e, first, _ = _event_loads(spark, sf_dir)
+    marks = watermarks_per_table(first.select(F.col("event_type").alias("table_name"),
+                                              F.col("ts").alias("last_watermark")))
+    j = e.join(F.broadcast(marks), e["event_type"] == marks["table_name"], "left")
+    return j.where(F.col("last_watermark").isNull() | (F.col("ts") > F.col("last_watermark"))) \
+        .select(*e.columns)
+
+
+def incremental_slice_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slice_since(_events(spark, sf_dir), "ts", EVENTS_CUTOFF)
+
+
+def _hashed_orders(df: DataFrame) -> DataFrame:
+    return df.withColumn("row_hash", row_hash(REG.spec("orders").column_names))
+
+
+def merge_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders as of the cut-off, merged with a reload of the recent
+    orders: changed rows (new ship date) updated, new orders inserted,
+    unchanged and older rows kept."""
+    target = _hashed_orders(tpch.orders(spark, sf_dir, as_of=ORDERS_CUTOFF))
+    source = _hashed_orders(tpch.orders(spark, sf_dir).where(
+        F.col("order_date") >= F.date_sub(F.lit(ORDERS_CUTOFF), RELOAD_DAYS)))
+    return merge_upsert(target, source, ORDER_KEYS, hash_col="row_hash")
+
+
+def merge_unconditional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per user from the first load, upserted with the latest
+    per user from the second load (SCD type 1)."""
+    _, first, second = _event_loads(spark, sf_dir)
+    cols = ["user_id", "ts", "event_id", "event_type", "value"]
+    t = latest_by_key(first.select(*cols), ["user_id"], ["ts"])
+    s = latest_by_key(second.select(*cols), ["user_id"], ["ts"])
+    return merge_upsert(t, s, ["user_id"])
+
+
+def _staff_merge(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFrame:
+    spec = REG.spec("staffs")
+    raw = tpch.staffs(spark, sf_dir)
+    target = raw.withColumn("row_hash", row_hash(spec.column_names))
+    cleaned = typed_projection(raw, spec).withColumn("row_hash", row_hash(spec.column_names))
+    return merge_upsert(target, cleaned, spec.primary_key, hash_col="row_hash",
+                        null_safe=null_safe)
+
+
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key with a NULL (manager_id), plain '=': the NULL-key row is inserted again."""
+    return _staff_merge(spark, sf_dir, null_safe=False)
+
+
+def merge_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staff_merge(spark, sf_dir, null_safe=True)
+
+
+def orders_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_derived(tpch.orders(spark, sf_dir), REG.spec("orders"), as_of=AS_OF)
+
+
+def items_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_derived(tpch.order_items(spark, sf_dir), REG.spec("order_items"))
+
+
+def fact_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = tpch.model_tables(spark, sf_dir)
+    g = gold_plan.build_dimensions(silver)
+    return gold_plan.build_fact(silver, g, REG, last_date=LAST_PROCESSED, as_of=AS_OF)
+
+
+def dim_date_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = tpch.model_tables(spark, sf_dir)
+    return gold_plan.build_dimensions(silver, last_date=LAST_PROCESSED)["dim_date"]
+
+
+def silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped order_items (text, ingestion time = ship time, real
+    duplicate keys) -> silver rows: slice, latest per key, typed, hashed,
+    quality-filtered."""
+    li = tpch.table(spark, sf_dir, "lineitem")
+    raw = li.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").cast("string").alias("item_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_quantity").cast("string").alias("quantity"),
+        F.col("l_extendedprice").cast("string").alias("list_price"),
+        F.col("l_discount").cast("string").alias("discount"),
+        F.col("l_shipdate").cast("timestamp").alias("_ingestion_timestamp"))
+    out = silver_plan.silver_dataset(raw, REG.spec("order_items"), watermark=None)
+    return out.drop("row_hash")
+
+
 QUERIES: dict[str, Query] = {
+    "dq_filter": dq_filter,
+    "dq_filter_raw": dq_filter_raw,
+    "raw_row_hash": raw_row_hash_q,
+    "silver_row_hash": silver_row_hash,
+    "clean_text": clean_text,
+    "clean_text_all_runs": clean_text_all_runs,
+    "typed_projection": typed_projection_q,
+    "typed_order_items": typed_order_items,
+    "partition_columns": partition_columns,
+    "dedup_latest": dedup_latest,
+    "watermark_max": watermark_max,
+    "incremental_slice": incremental_slice,
+    "incremental_slice_literal": incremental_slice_literal,
+    "merge_conditional": merge_conditional,
+    "merge_unconditional": merge_unconditional,
+    "merge_null_keys": merge_null_keys,
+    "merge_null_safe": merge_null_safe,
+    "orders_derived": orders_derived,
+    "items_derived": items_derived,
+    "silver_transform": silver_transform,
+    "dim_date_lookback": dim_date_lookback,
+    "fact_lookback": fact_lookback,
     "dim_date": _dim("dim_date"),
     "dim_customer": _dim("dim_customer"),
     "dim_staff": _dim("dim_staff"),

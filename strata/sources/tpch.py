@@ -13,6 +13,8 @@ layer when the library runs on the benchmark tables:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,14 +42,25 @@ def _after_hash(c: str):
     return F.split_part(F.col(c), F.lit("#"), F.lit(2))
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, as_of: dt.date | None = None) -> DataFrame:
     """One row per order.  shipped_date is the last ship date of the order's
     lines when that is on/after the order date, else NULL.  The lines are
-    reduced to one row per order (map-side) before the join."""
+    reduced to one row per order (map-side) before the join.
+
+    ``as_of``: the table as it stood at the end of that day (orders placed
+    and lines shipped by then), e.g. the previous load of an incremental run.
+    """
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    last_ship = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
-                 .agg(F.max("l_shipdate").alias("last_ship")))
+    li = table(spark, sf_dir, "lineitem")
+    if as_of is not None:
+        # the files hold timestamp_ntz; a literal of that type keeps the
+        # predicate pushable into the parquet scan
+        end = F.lit(dt.datetime.combine(as_of + dt.timedelta(days=1), dt.time())) \
+            .cast("timestamp_ntz")
+        o = o.where(F.col("o_orderdate") < end)
+        li = li.where(F.col("l_shipdate") < end)
+    last_ship = li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
     j = o.join(last_ship, o["o_orderkey"] == last_ship["l_orderkey"], "left")
     status = F.lit(None).cast("int")
     for letter, code in ORDER_STATUS.items():
@@ -161,6 +174,11 @@ def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("quantity").cast("int").alias("quantity")))
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column as text, the way a landing CSV delivers it."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
 MODEL_TABLES = {
     "orders": orders, "order_items": order_items, "products": products, "brands": brands,
     "categories": categories, "customers": customers, "stores": stores, "staffs": staffs,
