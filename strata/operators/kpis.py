@@ -76,7 +76,7 @@ def discount(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
             .orderBy("year_month"))
 
 
-def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+def top_products(fact: DataFrame, dim_product: DataFrame, materialize: bool = True) -> DataFrame:
     """Revenue per product, its global rank and its share of all revenue.
 
     The fact is aggregated per product *before* the join (one row per
@@ -89,6 +89,10 @@ def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
                         F.sum("gross_amount").alias("total_revenue")))
     p = sized_broadcast(dim_product.select("product_id", "product_name"))
     agg = per_product.join(p, "product_id", "inner")
+    if materialize:
+        # read three times below (quantiles, ranks, total): compute it once,
+        # into the cluster's checkpoint folder
+        agg = agg.checkpoint(eager=True)
     total = agg.agg(F.sum("total_revenue")).scalar()
     ranked = global_rank(agg, "total_revenue", "revenue_rank", descending=True)
     return (ranked.select("product_id", "product_name", "total_quantity", "total_revenue",
