@@ -12,8 +12,8 @@ def estimated_size(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimised plan, in bytes (an upper
     bound for file scans; None when the plan cannot be inspected)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:  # pragma: no cover - e.g. Spark Connect
         return None
 

@@ -110,12 +110,6 @@ MONTHLY_KPIS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def all_kpis(fact: DataFrame, dim_date: DataFrame, dim_product: DataFrame) -> dict[str, DataFrame]:
-    """Every KPI table by name (the set the analytics layer refreshes)."""
-    out = {name: fn(fact, dim_date) for name, fn in MONTHLY_KPIS.items()}
-    out["agg_top_products"] = top_products(fact, dim_product)
-    return dict(sorted(out.items(), key=lambda kv: list(KPI_ORDER).index(kv[0])))
-
-
+# The KPI tables the analytics layer refreshes, in order.
 KPI_ORDER = ["agg_monthly_billing", "agg_sla", "agg_delay", "agg_top_products",
              "agg_monthly_average_ticket", "agg_monthly_discount"]

@@ -53,8 +53,7 @@ def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _dim(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver = tpch.model_tables(spark, sf_dir)
-        return gold_plan.build_dimensions(silver)[name]
+        return gold_plan.build_dimension(name, tpch.model_tables(spark, sf_dir))
     q.__name__ = name
     return q
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from strata.operators import dims, facts, kpis
@@ -23,16 +25,53 @@ GOLD_KEYS = {
 }
 
 
-def build_dimensions(silver: dict[str, DataFrame], last_date: dt.date | None = None
-                     ) -> dict[str, DataFrame]:
-    return {
-        "dim_date": dims.dim_date(silver["orders"], last_date),
-        "dim_customer": dims.dim_customer(silver["customers"]),
-        "dim_staff": dims.dim_staff(silver["staffs"]),
-        "dim_store": dims.dim_store(silver["stores"]),
-        "dim_product": dims.dim_product(silver["products"], silver["categories"],
-                                        silver["brands"]),
-    }
+def build_dimension(name: str, silver: Mapping[str, DataFrame],
+                    last_date: dt.date | None = None) -> DataFrame:
+    if name == "dim_date":
+        return dims.dim_date(silver["orders"], last_date)
+    if name == "dim_customer":
+        return dims.dim_customer(silver["customers"])
+    if name == "dim_staff":
+        return dims.dim_staff(silver["staffs"])
+    if name == "dim_store":
+        return dims.dim_store(silver["stores"])
+    if name == "dim_product":
+        return dims.dim_product(silver["products"], silver["categories"], silver["brands"])
+    raise KeyError(name)
+
+
+class _Lazy(Mapping):
+    """name -> frame, planned on first access."""
+
+    def __init__(self, names, build):
+        self._names, self._build, self._done = list(names), build, {}
+
+    def __getitem__(self, name):
+        if name not in self._done:
+            if name not in self._names:
+                raise KeyError(name)
+            self._done[name] = self._build(name)
+        return self._done[name]
+
+    def __setitem__(self, name, df):
+        if name not in self._names:
+            self._names.append(name)
+        self._done[name] = df
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self):
+        return len(self._names)
+
+
+DIMENSIONS = ["dim_date", "dim_customer", "dim_staff", "dim_store", "dim_product"]
+
+
+def build_dimensions(silver: Mapping[str, DataFrame], last_date: dt.date | None = None
+                     ) -> _Lazy:
+    """Every dimension (each planned when first used)."""
+    return _Lazy(DIMENSIONS, lambda n: build_dimension(n, silver, last_date))
 
 
 def build_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame],
@@ -45,11 +84,19 @@ def build_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame],
 
 def build_gold(silver: dict[str, DataFrame], registry: Registry | None = None,
                as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """Full (non-incremental) gold build."""
-    gold = build_dimensions(silver)
-    gold["fact_sales"] = build_fact(silver, gold, registry, None, as_of)
+    """Full (non-incremental) gold build; tables are planned when first used."""
+    def build(name: str) -> DataFrame:
+        if name == "fact_sales":
+            return build_fact(silver, gold, registry, None, as_of)
+        return build_dimension(name, silver)
+    gold = _Lazy([*DIMENSIONS, "fact_sales"], build)
     return gold
 
 
-def build_kpis(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return kpis.all_kpis(gold["fact_sales"], gold["dim_date"], gold["dim_product"])
+def build_kpis(gold: Mapping[str, DataFrame]) -> _Lazy:
+    """Every KPI table by name, planned when first used."""
+    def build(name: str) -> DataFrame:
+        if name == "agg_top_products":
+            return kpis.top_products(gold["fact_sales"], gold["dim_product"])
+        return kpis.MONTHLY_KPIS[name](gold["fact_sales"], gold["dim_date"])
+    return _Lazy(kpis.KPI_ORDER, build)

@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import sized_broadcast
+from strata.operators.joins import estimated_size, sized_broadcast
 
 
 # Order status letter -> status code of the model.
@@ -48,6 +48,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+# Below this size a scan is cheap enough for one task.
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
@@ -57,7 +61,8 @@ def spread(df: DataFrame) -> DataFrame:
     enough splits and are returned unchanged (no extra shuffle).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or df.inputFiles() == []:
+    size = estimated_size(df) or 0
+    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 
