@@ -54,7 +54,3 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     return joined.select(*[F.when(take_source, F.col(_S + c)).otherwise(F.col(_T + c)).alias(c)
                            for c in cols])
 
-
-def replace_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """DELETE matching keys, then INSERT the source rows (unconditional)."""
-    return merge_upsert(target, source, keys, hash_col=None, null_safe=True)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.dates import key_to_date
-from strata.operators.merge import merge_upsert, replace_rows
 from strata.operators.projection import (
     INGESTION_TS, RAW_HASH, with_lineage, with_raw_hash,
 )
@@ -51,6 +50,7 @@ class PipelineConfig:
     collapse: str = "first"
     null_safe_merge: bool = True
     lookback_days: int = 7
+    table_format: str = "parquet"
 
     def table_names(self) -> list[str]:
         return list(self.tables or self.registry.keys())
@@ -115,13 +115,8 @@ def silver_load(spark: SparkSession, store: TableStore, spec: TableSpec,
     if n == 0:
         return 0
     incoming = store.stage(silver_dataset(bronze, spec, mark, collapse), f"silver-{spec.name}")
-    if store.exists("silver", spec.name):
-        target = store.read("silver", spec.name)
-        merged = merge_upsert(target, incoming, spec.primary_key, hash_col="row_hash",
-                              null_safe=null_safe)
-        store.write_snapshot("silver", spec.name, merged)
-    else:
-        store.write_snapshot("silver", spec.name, incoming)
+    store.upsert("silver", spec.name, incoming, spec.primary_key, hash_col="row_hash",
+                 null_safe=null_safe)
     # the mark advances over every row read, accepted or not
     store.append("control", SILVER_MARKS,
                  spark.createDataFrame([(spec.name, newest)], WATERMARK_SCHEMA))
@@ -137,11 +132,7 @@ def gold_mark(store: TableStore, table: str) -> dt.date | None:
 def set_gold_mark(spark: SparkSession, store: TableStore, table: str, value: dt.date) -> None:
     """Replace the table's processed date (delete + insert as one merge)."""
     row = spark.createDataFrame([(table, value)], PROCESSED_SCHEMA)
-    if store.exists("control", GOLD_MARKS):
-        current = store.read("control", GOLD_MARKS, PROCESSED_SCHEMA)
-        store.write_snapshot("control", GOLD_MARKS, replace_rows(current, row, ["table_name"]))
-    else:
-        store.write_snapshot("control", GOLD_MARKS, row)
+    store.upsert("control", GOLD_MARKS, row, ["table_name"])
 
 
 def upsert_table(store: TableStore, layer: str, table: str, df: DataFrame,
@@ -150,13 +141,8 @@ def upsert_table(store: TableStore, layer: str, table: str, df: DataFrame,
     (matched rows replaced, new rows inserted).  Returns staged rows."""
     staged = store.stage(df, f"{layer}-{table}")
     n = staged.count()
-    if n == 0:
-        return 0
-    if store.exists(layer, table):
-        merged = merge_upsert(store.read(layer, table), staged, keys)
-        store.write_snapshot(layer, table, merged)
-    else:
-        store.write_snapshot(layer, table, staged)
+    if n:
+        store.upsert(layer, table, staged, keys)
     return n
 
 
@@ -169,11 +155,7 @@ def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> di
     dim_date = store.stage(dims["dim_date"], "gold-dim_date")
     out["dim_date"] = n = dim_date.count()
     if n:
-        if store.exists("gold", "dim_date"):
-            store.write_snapshot("gold", "dim_date", merge_upsert(
-                store.read("gold", "dim_date"), dim_date, gold_plan.GOLD_KEYS["dim_date"]))
-        else:
-            store.write_snapshot("gold", "dim_date", dim_date)
+        store.upsert("gold", "dim_date", dim_date, gold_plan.GOLD_KEYS["dim_date"])
         set_gold_mark(spark, store, "dim_date", dim_date.agg(F.max("full_date")).first()[0])
 
     for name in ("dim_customer", "dim_staff", "dim_store", "dim_product"):
@@ -186,11 +168,7 @@ def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> di
     staged = store.stage(fact, "gold-fact_sales")
     out["fact_sales"] = n = staged.count()
     if n:
-        if store.exists("gold", "fact_sales"):
-            store.write_snapshot("gold", "fact_sales", merge_upsert(
-                store.read("gold", "fact_sales"), staged, gold_plan.GOLD_KEYS["fact_sales"]))
-        else:
-            store.write_snapshot("gold", "fact_sales", staged)
+        store.upsert("gold", "fact_sales", staged, gold_plan.GOLD_KEYS["fact_sales"])
         newest = staged.agg(key_to_date(F.max("date_key"))).first()[0]
         set_gold_mark(spark, store, "fact_sales", newest)
     return out
@@ -213,7 +191,7 @@ def kpi_load(spark: SparkSession, store: TableStore) -> dict[str, int]:
 def run(spark: SparkSession, cfg: PipelineConfig,
         layers: tuple[str, ...] = ("bronze", "silver", "gold", "kpi")) -> dict[str, dict]:
     """Run the chosen layers in order; returns per-table row counts."""
-    store = TableStore(spark, cfg.lake_root)
+    store = TableStore(spark, cfg.lake_root, cfg.table_format)
     store.ensure_layers()
     report: dict[str, dict] = {}
     names = cfg.table_names()

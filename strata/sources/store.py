@@ -11,6 +11,10 @@
   shared checkpoint folder (``spark.checkpoint.dir``) to cut lineage.
 
 Single writer per table is assumed (one pipeline run at a time).
+
+With ``format="delta"`` (needs the Delta Lake package on the cluster) the
+same API writes Delta tables and ``upsert`` is a Delta ``MERGE``, which
+rewrites only the files holding matched keys instead of the whole table.
 """
 
 from __future__ import annotations
@@ -27,10 +31,25 @@ LAYERS = ("bronze", "silver", "gold", "control")
 _VERSION = re.compile(r"^v(\d{8})$")
 
 
+def delta_available(spark: SparkSession) -> bool:
+    """True when the Delta Lake Python package and JVM classes are present."""
+    try:
+        import delta.tables  # noqa: F401
+        spark.sparkContext._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")
+        return True
+    except Exception:
+        return False
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, format: str = "parquet"):
+        if format not in ("parquet", "delta"):
+            raise ValueError(f"format must be parquet or delta, got {format!r}")
+        if format == "delta" and not delta_available(spark):
+            raise RuntimeError("format='delta' needs the Delta Lake package on the cluster")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.format = format
 
     # ------------------------------------------------------------ paths --
     def path(self, layer: str, table: str) -> str:
@@ -70,6 +89,8 @@ class TableStore:
     def exists(self, layer: str, table: str) -> bool:
         if layer == "bronze":
             return self._exists(self.path(layer, table))
+        if self.format == "delta":
+            return self._exists(f"{self.path(layer, table)}/_delta_log")
         return bool(self.versions(layer, table))
 
     def snapshot_path(self, layer: str, table: str, version: int | None = None) -> str:
@@ -87,11 +108,21 @@ class TableStore:
             reader = reader.schema(schema)
         if layer == "bronze":
             return reader.parquet(self.path(layer, table))
+        if self.format == "delta":
+            if version is not None:
+                reader = reader.option("versionAsOf", version)
+            return reader.format("delta").load(self.path(layer, table))
         return reader.parquet(self.snapshot_path(layer, table, version))
 
     def write_snapshot(self, layer: str, table: str, df: DataFrame,
                        partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next snapshot; returns its version number."""
+        if self.format == "delta":
+            w = df.write.format("delta").mode("overwrite").option("overwriteSchema", True)
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.save(self.path(layer, table))
+            return -1
         vs = self.versions(layer, table)
         version = (vs[-1] + 1) if vs else 1
         w = df.write.mode("errorifexists")
@@ -108,6 +139,19 @@ class TableStore:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(layer, table))
 
+    def upsert(self, layer: str, table: str, incoming: DataFrame, keys: list[str],
+               hash_col: str | None = None, null_safe: bool = True) -> None:
+        """Create the table from ``incoming``, or merge ``incoming`` into it
+        (see ``operators.merge.merge_upsert`` for the semantics)."""
+        if not self.exists(layer, table):
+            self.write_snapshot(layer, table, incoming)
+        elif self.format == "delta":
+            _delta_merge(self.spark, self.path(layer, table), incoming, keys, hash_col, null_safe)
+        else:
+            from strata.operators.merge import merge_upsert
+            merged = merge_upsert(self.read(layer, table), incoming, keys, hash_col, null_safe)
+            self.write_snapshot(layer, table, merged)
+
     # ------------------------------------------------------------ views --
     def register(self, layer: str, table: str, schema: T.StructType | None = None) -> str:
         """Temp view ``<layer>_<table>`` over the current contents."""
@@ -123,3 +167,14 @@ class TableStore:
         path = f"{base}/strata-stage/{label}-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+def _delta_merge(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
+                 hash_col: str | None, null_safe: bool) -> None:
+    from delta.tables import DeltaTable
+    op = "<=>" if null_safe else "="
+    cond = " AND ".join(f"t.`{k}` {op} s.`{k}`" for k in keys)
+    m = DeltaTable.forPath(spark, path).alias("t").merge(incoming.alias("s"), cond)
+    m = (m.whenMatchedUpdateAll(f"t.`{hash_col}` <> s.`{hash_col}`") if hash_col
+         else m.whenMatchedUpdateAll())
+    m.whenNotMatchedInsertAll().execute()

@@ -15,15 +15,14 @@ silver unchanged.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.operators.merge import merge_upsert
 from strata.plans.pipeline import bronze_frame
 from strata.plans.silver import silver_dataset
 from strata.registry import Registry, TableSpec, load_registry
 from strata.session import ensure_checkpoint_dir
 from strata.sources.store import TableStore
-from pyspark.sql import functions as F
 
 
 def _source(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
@@ -45,12 +44,8 @@ def _batch_writer(store: TableStore, spec: TableSpec, collapse: str, null_safe:
         store.append("bronze", spec.name, bronze, partition_by=spec.partition_by)
         incoming = store.stage(silver_dataset(bronze, spec, None, collapse),
                                f"stream-silver-{spec.name}")
-        if store.exists("silver", spec.name):
-            merged = merge_upsert(store.read("silver", spec.name), incoming, spec.primary_key,
-                                  hash_col="row_hash", null_safe=null_safe)
-            store.write_snapshot("silver", spec.name, merged)
-        else:
-            store.write_snapshot("silver", spec.name, incoming)
+        store.upsert("silver", spec.name, incoming, spec.primary_key, hash_col="row_hash",
+                     null_safe=null_safe)
     return write
 
 

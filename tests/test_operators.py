@@ -97,3 +97,23 @@ def test_global_rank_matches_sql_rank(spark):
     ref = {r["id"]: r["r"] for r in spark.sql(
         "SELECT id, RANK() OVER (ORDER BY x DESC NULLS LAST) AS r FROM rank_in").collect()}
     assert ours == ref
+
+
+def test_delta_store_is_gated(spark, scratch):
+    import pytest
+    from strata.sources.store import TableStore, delta_available
+    if delta_available(spark):
+        pytest.skip("Delta Lake present")
+    with pytest.raises(RuntimeError):
+        TableStore(spark, scratch, format="delta")
+
+
+def test_snapshot_store_versions(spark, scratch):
+    from strata.sources.store import TableStore
+    store = TableStore(spark, f"{scratch}/lake")
+    a = spark.createDataFrame([(1, "a")], "k int, v string")
+    store.upsert("silver", "t", a, ["k"])
+    store.upsert("silver", "t", spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
+    assert store.versions("silver", "t") == [1, 2]
+    assert _rows(store.read("silver", "t")) == [(1, "b"), (2, "c")]
+    assert _rows(store.read("silver", "t", version=1)) == [(1, "a")]
