@@ -196,8 +196,14 @@ def run(spark: SparkSession, cfg: PipelineConfig,
     report: dict[str, dict] = {}
     names = cfg.table_names()
     if "bronze" in layers:
-        report["bronze"] = {t: bronze_load(spark, store, cfg.registry.spec(t),
-                                           landing_path(cfg.landing_dir, t)) for t in names}
+        report["bronze"] = {}
+        for t in names:
+            src = landing_path(cfg.landing_dir, t)
+            if not store.path_exists(src):
+                log.warning("no landing file for %s at %s; skipped", t, src)
+                report["bronze"][t] = 0
+                continue
+            report["bronze"][t] = bronze_load(spark, store, cfg.registry.spec(t), src)
     if "silver" in layers:
         report["silver"] = {t: silver_load(spark, store, cfg.registry.spec(t), cfg.collapse,
                                            cfg.null_safe_merge) for t in names}

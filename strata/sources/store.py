@@ -65,6 +65,10 @@ class TableStore:
         fs, p = self._hpath(path)
         return bool(fs.exists(p))
 
+    def path_exists(self, path: str) -> bool:
+        """Whether any file system path (e.g. a landing file) exists."""
+        return self._exists(path)
+
     def ensure_layers(self) -> None:
         """Create the layer folders (the namespaces of the lake)."""
         for layer in LAYERS:

@@ -102,3 +102,16 @@ def test_incremental_equals_full(spark, lake, scratch):
         _rows(store.read("silver", "orders").select(*cols))
     for n in ("fact_sales", "agg_monthly_billing", "agg_top_products"):
         assert _rows(inc.read("gold", n)) == _rows(store.read("gold", n)), n
+
+
+def test_missing_landing_file_is_skipped(spark, scratch):
+    landing = f"{scratch}/landing"
+    tpch.brands(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(f"{landing}/brands.csv")
+    report = run(spark, PipelineConfig(landing_dir=landing, lake_root=f"{scratch}/lake",
+                                       tables=["brands", "categories"]),
+                 layers=("bronze", "silver"))
+    assert report["bronze"]["categories"] == 0 and report["silver"]["categories"] == 0
+    assert report["silver"]["brands"] == tpch.brands(spark, SF_SMALL).count()
+    store = TableStore(spark, f"{scratch}/lake")
+    view = store.register("silver", "brands")
+    assert spark.table(view).count() == report["silver"]["brands"]
