@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import year_month
 from strata.operators.joins import sized_broadcast
 from strata.operators.ranking import global_rank
+from strata.session import ensure_checkpoint_dir
 
 
 def _flag(c: str) -> Column:
@@ -100,6 +101,7 @@ def top_products(fact: DataFrame, dim_product: DataFrame, materialize: bool = Tr
     if materialize:
         # read three times below (quantiles, ranks, total): compute it once,
         # into the cluster's checkpoint folder
+        ensure_checkpoint_dir(agg.sparkSession)
         agg = agg.checkpoint(eager=True)
     total = agg.agg(F.sum("total_revenue")).scalar()
     ranked = global_rank(agg, "total_revenue", "revenue_rank", descending=True)
