@@ -108,14 +108,16 @@ g_dim_product AS (
 )""")
 
 ORDERS_DERIVED = f"""
-  datediff('day', o.order_date, o.shipped_date) AS days_to_ship,
-  datediff('day', o.order_date, o.required_date) AS promised_days,
+  CAST(datediff('day', o.order_date, o.shipped_date) AS INTEGER) AS days_to_ship,
+  CAST(datediff('day', o.order_date, o.required_date) AS INTEGER) AS promised_days,
   CASE WHEN o.shipped_date IS NOT NULL THEN 1 ELSE 0 END AS is_shipped,
   CASE WHEN o.shipped_date > o.required_date THEN 1 ELSE 0 END AS is_late,
   CASE WHEN o.shipped_date <= o.required_date THEN 1 ELSE 0 END AS sla_met,
-  datediff('day', o.order_date, COALESCE(o.shipped_date, {AS_OF})) AS days_open,
-  CASE WHEN o.shipped_date IS NOT NULL THEN datediff('day', o.required_date, o.shipped_date) END AS delay_days,
-  CASE WHEN o.shipped_date IS NULL THEN datediff('day', o.required_date, {AS_OF}) ELSE 0 END AS open_delay_days"""
+  CAST(datediff('day', o.order_date, COALESCE(o.shipped_date, {AS_OF})) AS INTEGER) AS days_open,
+  CASE WHEN o.shipped_date IS NOT NULL
+       THEN CAST(datediff('day', o.required_date, o.shipped_date) AS INTEGER) END AS delay_days,
+  CASE WHEN o.shipped_date IS NULL
+       THEN CAST(datediff('day', o.required_date, {AS_OF}) AS INTEGER) ELSE 0 END AS open_delay_days"""
 
 FACT_REST = ["order_date", "date_key", "customer_name", "store_name", "staff_key", "staff_name",
              "quantity", "unit_price", "total_item_amount", "discount", "gross_amount",

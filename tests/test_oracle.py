@@ -30,6 +30,20 @@ def test_query_matches_oracle(spark, con, name):
     assert value_hash(df.columns, rows) == value_hash(dcols, drows)
 
 
+_CANON = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
+          "StringType": "VARCHAR", "DateType": "DATE", "TimestampType": "TIMESTAMP",
+          "TimestampNTZType": "TIMESTAMP", "BooleanType": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF_ORACLE)
+    ours = {f.name: _CANON.get(type(f.dataType).__name__, str(f.dataType)) for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    theirs = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert ours == theirs
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["year_month", "total_billing", "total_orders"]
