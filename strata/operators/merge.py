@@ -7,10 +7,19 @@
 * a source row without a match is inserted;
 * a target row without a match is kept.
 
-It is a single full outer join on the keys, so each side is shuffled once
-by key and nothing is collected.  ``null_safe=True`` matches NULL keys to
-each other (``<=>``); ``False`` is plain ``=``: a NULL key never matches, so
-such source rows are inserted again on every merge.
+Two physical forms, same result:
+
+* ``shuffle``: one full outer join on the keys; each side is shuffled once.
+* ``broadcast``: when the incoming rows pass the broadcast size check (the
+  usual incremental load against a large table), the target is only
+  *streamed* against a broadcast of the source - an anti join keeps the
+  target rows that are not replaced, a semi join finds the unchanged
+  matches - so the large side is never shuffled.
+
+``strategy="auto"`` picks ``broadcast`` when the source's estimated size is
+under the limit.  ``null_safe=True`` matches NULL keys to each other
+(``<=>``); ``False`` is plain ``=``: a NULL key never matches, so such
+source rows are inserted again on every merge.
 """
 
 from __future__ import annotations
@@ -20,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import DEFAULT_BROADCAST_LIMIT, estimated_size
+
 _T, _S = "__t_", "__s_"
 _T_HIT, _S_HIT = "__t_present", "__s_present"
 
@@ -31,17 +42,27 @@ def _key_condition(keys: list[str], null_safe: bool) -> Column:
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
-                 hash_col: str | None = None, null_safe: bool = True) -> DataFrame:
+                 hash_col: str | None = None, null_safe: bool = True,
+                 strategy: str = "auto", broadcast_limit: int | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``.
 
     ``hash_col``: update a matched row only when ``target.hash <> source.hash``
     (NULL on either side counts as unchanged).  ``None`` updates every match.
     Columns of the result are the target's; the source must have them all.
+    ``strategy``: ``auto``, ``broadcast`` or ``shuffle`` (see module doc).
     """
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns: {missing}")
+    if strategy == "auto":
+        limit = DEFAULT_BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
+        size = estimated_size(source)
+        strategy = "broadcast" if size is not None and size <= limit else "shuffle"
+    if strategy == "broadcast":
+        return _merge_broadcast(target, source.select(*cols), keys, hash_col, null_safe)
+    if strategy != "shuffle":
+        raise ValueError(f"strategy must be auto, broadcast or shuffle, got {strategy!r}")
     t = target.select(*[F.col(c).alias(_T + c) for c in cols], F.lit(True).alias(_T_HIT))
     s = source.select(*[F.col(c).alias(_S + c) for c in cols], F.lit(True).alias(_S_HIT))
     joined = t.join(s, _key_condition(keys, null_safe), "full_outer")
@@ -54,3 +75,28 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     return joined.select(*[F.when(take_source, F.col(_S + c)).otherwise(F.col(_T + c)).alias(c)
                            for c in cols])
 
+
+
+def _merge_broadcast(target: DataFrame, source: DataFrame, keys: list[str],
+                     hash_col: str | None, null_safe: bool) -> DataFrame:
+    probe_cols = keys + ([hash_col] if hash_col else [])
+    probe = F.broadcast(source.select(*[F.col(c).alias(_S + c) for c in probe_cols]))
+    t = target.select(*[F.col(c).alias(_T + c) for c in target.columns])
+    on = _key_condition(keys, null_safe)
+    if hash_col is None:
+        replaced, unchanged = on, None
+    else:
+        changed = F.coalesce(F.col(_T + hash_col) != F.col(_S + hash_col), F.lit(False))
+        replaced, unchanged = on & changed, on & ~changed
+    # target rows that no source row replaces (streamed, never shuffled)
+    kept = t.join(probe, replaced, "left_anti")
+    kept = kept.select(*[F.col(_T + c).alias(c) for c in target.columns])
+    if unchanged is None:
+        return kept.unionByName(source)
+    # source rows whose key already holds an equal row are not inserted
+    same = t.join(probe, unchanged, "left_semi").select(*[F.col(_T + k) for k in keys])
+    s = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
+    cond = _key_condition(keys, null_safe)
+    fresh = s.join(same, cond, "left_anti")
+    fresh = fresh.select(*[F.col(_S + c).alias(c) for c in source.columns])
+    return kept.unionByName(fresh)

@@ -3,6 +3,7 @@ plus properties (idempotence, one row per key) checked with hypothesis."""
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -21,23 +22,38 @@ def _rows(df, *cols):
     return sorted((tuple(r) for r in df.select(*(cols or df.columns)).collect()), key=str)
 
 
-def test_merge_conditional_outcomes(spark):
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_merge_conditional_outcomes(spark, strategy):
     target = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2"), (None, "n", "hn")], SCHEMA)
     source = spark.createDataFrame([(1, "a2", "h1"), (2, "b2", "hX"), (3, "c", "h3"),
                                     (None, "n2", "hm")], SCHEMA)
     # '=': NULL key never matches -> inserted again; unchanged hash keeps target
-    plain = _rows(merge_upsert(target, source, ["k"], hash_col="h", null_safe=False))
+    plain = _rows(merge_upsert(target, source, ["k"], hash_col="h", null_safe=False,
+                               strategy=strategy))
     assert plain == sorted([(1, "a", "h1"), (2, "b2", "hX"), (3, "c", "h3"),
                             (None, "n", "hn"), (None, "n2", "hm")], key=str)
-    safe = merge_upsert(target, source, ["k"], hash_col="h", null_safe=True)
+    safe = merge_upsert(target, source, ["k"], hash_col="h", null_safe=True, strategy=strategy)
     assert _rows(safe) == sorted(
         [(1, "a", "h1"), (2, "b2", "hX"), (3, "c", "h3"), (None, "n2", "hm")], key=str)
 
 
-def test_merge_unconditional_replaces(spark):
-    target = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2")], SCHEMA)
-    source = spark.createDataFrame([(1, "a2", "h1")], SCHEMA)
-    assert _rows(merge_upsert(target, source, ["k"])) == [(1, "a2", "h1"), (2, "b", "h2")]
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_merge_unconditional_replaces(spark, strategy):
+    target = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2"), (None, "n", "hn")], SCHEMA)
+    source = spark.createDataFrame([(1, "a2", "h1"), (None, "m", "hm")], SCHEMA)
+    assert _rows(merge_upsert(target, source, ["k"], strategy=strategy)) == sorted(
+        [(1, "a2", "h1"), (2, "b", "h2"), (None, "m", "hm")], key=str)
+    assert _rows(merge_upsert(target, source, ["k"], null_safe=False, strategy=strategy)) == sorted(
+        [(1, "a2", "h1"), (2, "b", "h2"), (None, "n", "hn"), (None, "m", "hm")], key=str)
+
+
+def test_broadcast_merge_does_not_shuffle_target(spark):
+    target = spark.range(1000).selectExpr("cast(id as int) as k", "cast(id as string) as v",
+                                          "cast(id as string) as h")
+    source = spark.range(1).selectExpr("1 as k", "'x' as v", "'y' as h")
+    plan = merge_upsert(target, source, ["k"], hash_col="h")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -48,7 +64,8 @@ def test_merge_properties(spark, t_rows, s_rows):
                       ["k"], ["v"])
     s = latest_by_key(spark.createDataFrame([(k, v, v) for k, v in s_rows] or [], SCHEMA),
                       ["k"], ["v"])
-    once = merge_upsert(t, s, ["k"], hash_col="h")
+    once = merge_upsert(t, s, ["k"], hash_col="h", strategy="shuffle")
+    assert _rows(merge_upsert(t, s, ["k"], hash_col="h", strategy="broadcast")) == _rows(once)
     twice = merge_upsert(once, s, ["k"], hash_col="h")
     assert _rows(once) == _rows(twice)                        # idempotent
     assert _rows(merge_upsert(t, t, ["k"], hash_col="h")) == _rows(t)   # no-op on itself
