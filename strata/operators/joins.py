@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Session settings that override the library's broadcast limits.
+BROADCAST_CONF = "strata.broadcast.maxBytes"
+
+
+def conf_bytes(spark, key: str, default: int) -> int:
+    """A byte-size session setting ('64m', '1g', '-1'), or ``default``."""
+    raw = spark.conf.get(key, None)
+    if raw is None:
+        return default
+    raw = str(raw).strip()
+    if raw.startswith("-"):
+        return -1
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+               .byteStringAsBytes(raw))
 
 
 def estimated_size(df: DataFrame) -> int | None:
@@ -19,13 +33,16 @@ def estimated_size(df: DataFrame) -> int | None:
 
 
 def sized_broadcast(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """Hint a broadcast when the estimated size is at most ``limit_bytes``.
+    """Hint a broadcast when the estimated size is at most ``limit_bytes``
+    (default: session setting ``strata.broadcast.maxBytes``, else 64 MiB;
+    a negative limit never broadcasts).
 
     Beyond the limit the frame is returned unchanged: the join shuffles, and
     AQE may still switch to a broadcast from runtime statistics.
     """
-    limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
+    limit = (conf_bytes(df.sparkSession, BROADCAST_CONF, DEFAULT_BROADCAST_LIMIT)
+             if limit_bytes is None else limit_bytes)
     size = estimated_size(df)
-    if size is not None and size <= limit:
+    if size is not None and 0 <= size <= limit:
         return F.broadcast(df)
     return df

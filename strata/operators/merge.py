@@ -29,7 +29,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import DEFAULT_BROADCAST_LIMIT, estimated_size
+from strata.operators.joins import conf_bytes, estimated_size
+
+# Largest probe (keys + hash of the incoming rows) broadcast by a merge;
+# session setting ``strata.merge.broadcastMaxBytes`` overrides it.
+MERGE_BROADCAST_CONF = "strata.merge.broadcastMaxBytes"
+MERGE_BROADCAST_LIMIT = 256 * 1024 * 1024
 
 _T, _S = "__t_", "__s_"
 _T_HIT, _S_HIT = "__t_present", "__s_present"
@@ -56,9 +61,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     if missing:
         raise ValueError(f"source lacks target columns: {missing}")
     if strategy == "auto":
-        limit = DEFAULT_BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
-        size = estimated_size(source)
-        strategy = "broadcast" if size is not None and size <= limit else "shuffle"
+        limit = (conf_bytes(source.sparkSession, MERGE_BROADCAST_CONF, MERGE_BROADCAST_LIMIT)
+                 if broadcast_limit is None else broadcast_limit)
+        # only the keys and the hash of the incoming rows are broadcast
+        size = estimated_size(source.select(*keys, *([hash_col] if hash_col else [])))
+        strategy = "broadcast" if size is not None and 0 <= size <= limit else "shuffle"
     if strategy == "broadcast":
         return _merge_broadcast(target, source.select(*cols), keys, hash_col, null_safe)
     if strategy != "shuffle":

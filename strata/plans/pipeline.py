@@ -211,5 +211,6 @@ def run(spark: SparkSession, cfg: PipelineConfig,
         report["gold"] = gold_load(spark, store, cfg)
     if "kpi" in layers:
         report["kpi"] = kpi_load(spark, store)
+    store.drop_staged()
     log.info("pipeline report: %s", report)
     return report

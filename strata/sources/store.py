@@ -50,6 +50,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.format = format
+        self._staged: list[str] = []
 
     # ------------------------------------------------------------ paths --
     def path(self, layer: str, table: str) -> str:
@@ -170,8 +171,25 @@ class TableStore:
         base = ensure_checkpoint_dir(self.spark).rstrip("/")
         path = f"{base}/strata-stage/{label}-{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(path)
+        self._staged.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_staged(self) -> None:
+        """Delete what ``stage`` wrote (call once nothing reads it any more)."""
+        while self._staged:
+            fs, p = self._hpath(self._staged.pop())
+            fs.delete(p, True)
+
+    def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` snapshots; returns the removed ones."""
+        if self.format == "delta" or layer == "bronze":
+            return []
+        old = self.versions(layer, table)[:-keep] if keep > 0 else []
+        for v in old:
+            fs, p = self._hpath(self.snapshot_path(layer, table, v))
+            fs.delete(p, True)
+        return old
+
 
 def _delta_merge(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
                  hash_col: str | None, null_safe: bool) -> None:

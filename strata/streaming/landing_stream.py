@@ -46,6 +46,7 @@ def _batch_writer(store: TableStore, spec: TableSpec, collapse: str, null_safe:
                                f"stream-silver-{spec.name}")
         store.upsert("silver", spec.name, incoming, spec.primary_key, hash_col="row_hash",
                      null_safe=null_safe)
+        store.drop_staged()
     return write
 
 
@@ -55,7 +56,8 @@ def start_table_stream(spark: SparkSession, store: TableStore, spec: TableSpec,
                        available_now: bool = True,
                        processing_time: str = "1 minute") -> StreamingQuery:
     """Start the stream of one table; its landing folder is
-    ``<landing_dir>/<table>/`` (any number of CSV files)."""
+    ``<landing_dir>/<table>/`` (any number of CSV files).  ``store`` must not
+    be shared with another running stream."""
     root = (checkpoint_root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-streams")
     writer = _batch_writer(store, spec, collapse, null_safe, spec.name)
     w = (_source(spark, spec, f"{landing_dir.rstrip('/')}/{spec.name}").writeStream
@@ -72,9 +74,10 @@ def stream_tables(spark: SparkSession, landing_dir: str, lake_root: str,
                   null_safe: bool = True) -> None:
     """Process every table's new landing files once (availableNow) and wait."""
     reg = registry or load_registry()
-    store = TableStore(spark, lake_root)
-    store.ensure_layers()
-    queries = [start_table_stream(spark, store, reg.spec(t), landing_dir, checkpoint_root,
-                                  collapse, null_safe) for t in (tables or list(reg))]
+    TableStore(spark, lake_root).ensure_layers()
+    # one store per stream: each tracks (and drops) only its own staged batches
+    queries = [start_table_stream(spark, TableStore(spark, lake_root), reg.spec(t), landing_dir,
+                                  checkpoint_root, collapse, null_safe)
+               for t in (tables or list(reg))]
     for q in queries:
         q.awaitTermination()

@@ -134,3 +134,25 @@ def test_snapshot_store_versions(spark, scratch):
     assert store.versions("silver", "t") == [1, 2]
     assert _rows(store.read("silver", "t")) == [(1, "b"), (2, "c")]
     assert _rows(store.read("silver", "t", version=1)) == [(1, "a")]
+
+
+def test_broadcast_limits_follow_session_conf(spark):
+    from strata.operators.joins import sized_broadcast
+    small = spark.range(10)
+    assert "ResolvedHint" in small.transform(sized_broadcast)._jdf.queryExecution().analyzed().toString() \
+        or "broadcast" in small.transform(sized_broadcast)._jdf.queryExecution().analyzed().toString().lower()
+    spark.conf.set("strata.broadcast.maxBytes", "-1")
+    try:
+        plan = sized_broadcast(small)._jdf.queryExecution().analyzed().toString().lower()
+        assert "broadcast" not in plan
+    finally:
+        spark.conf.unset("strata.broadcast.maxBytes")
+
+
+def test_vacuum_keeps_newest(spark, scratch):
+    from strata.sources.store import TableStore
+    store = TableStore(spark, f"{scratch}/lake")
+    for i in range(3):
+        store.write_snapshot("gold", "t", spark.range(i + 1))
+    assert store.vacuum("gold", "t", keep=1) == [1, 2]
+    assert store.versions("gold", "t") == [3] and store.read("gold", "t").count() == 3
