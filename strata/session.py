@@ -12,36 +12,58 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the library relies on for plan quality. Applied only when unset.
-DEFAULT_CONF = {
+# Settings the library relies on for plan quality.  Each one is applied only
+# when neither the cluster (spark-submit / defaults file) nor the session has
+# set it explicitly.
+SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+# Only settable when the context starts.
+STATIC_DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+DEFAULT_CONF = {**SQL_DEFAULTS, **STATIC_DEFAULTS}
 
 
 def build_session(master: str | None = None, app_name: str = "strata",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Get or create a session; set library defaults where the cluster left them unset."""
+    """Get or create a session; library defaults fill only settings that the
+    cluster and the session left unset.  ``shuffle_partitions`` and ``extra``
+    are explicit choices and always applied."""
+    from pyspark import SparkConf
+
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    if SparkSession.getActiveSession() is None:
+        submitted = SparkConf()          # spark-submit / defaults-file values
+        for k, v in STATIC_DEFAULTS.items():
+            if not submitted.contains(k):
+                builder = builder.config(k, v)
+        for k, v in SQL_DEFAULTS.items():
+            if not submitted.contains(k):
+                builder = builder.config(k, v)
+    explicit = dict(extra or {})
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in explicit.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    session_conf = spark._jsparkSession.sessionState().conf()
+    context_conf = spark.sparkContext.getConf()
+    for k, v in SQL_DEFAULTS.items():
+        if not session_conf.contains(k) and not context_conf.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

@@ -156,3 +156,15 @@ def test_vacuum_keeps_newest(spark, scratch):
         store.write_snapshot("gold", "t", spark.range(i + 1))
     assert store.vacuum("gold", "t", keep=1) == [1, 2]
     assert store.versions("gold", "t") == [3] and store.read("gold", "t").count() == 3
+
+
+def test_session_keeps_explicit_settings(spark):
+    from strata.session import build_session
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32MB")
+    try:
+        s = build_session()
+        assert s is spark
+        assert s.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32MB"
+        assert s.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))

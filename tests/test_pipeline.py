@@ -132,3 +132,12 @@ def test_missing_landing_file_is_skipped(spark, scratch):
     store = TableStore(spark, f"{scratch}/lake")
     view = store.register("silver", "brands")
     assert spark.table(view).count() == report["silver"]["brands"]
+
+
+def test_command_line_runs_layers(spark, scratch):
+    from strata.__main__ import main
+    landing = f"{scratch}/landing"
+    tpch.brands(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(f"{landing}/brands.csv")
+    report = main(["--landing", landing, "--lake", f"{scratch}/lake", "--layers", "bronze,silver",
+                   "--tables", "brands"])
+    assert report["silver"]["brands"] == tpch.brands(spark, SF_SMALL).count()
