@@ -62,3 +62,25 @@ def global_rank(df: DataFrame, col: str, rank_col: str = "rank",
              .select(F.col(col).alias("__v"),
                      (F.lit(1) + F.col(_OFF) + F.col(_GT)).cast("bigint").alias(rank_col)))
     return df.join(ranks, df[col].eqNullSafe(ranks["__v"]), "inner").drop("__v")
+
+
+def dense_rank_values(df: DataFrame, col: str, rank_col: str = "rank",
+                      ranges: int | None = None) -> DataFrame:
+    """Distinct non-NULL values of ``col`` (any orderable type) numbered
+    1, 2, ... in ascending order, without a single-partition window.
+
+    The distinct values are range-partitioned (Spark samples the bounds;
+    equal values share a range), numbered inside each range, and shifted by
+    the count of all lower ranges (a table of one row per range).
+    """
+    spark = df.sparkSession
+    n = max(1, ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
+    ranged = vals.repartitionByRange(n, F.col(col).asc()).withColumn(_B, F.spark_partition_id())
+    w = Window.partitionBy(_B).orderBy(F.col(col).asc())
+    local = ranged.withColumn(_GT, F.row_number().over(w))
+    per_range = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
+    wb = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(_B, F.coalesce(F.sum(_N).over(wb), F.lit(0)).alias(_OFF))
+    return (local.join(F.broadcast(offsets), _B)
+            .select(col, (F.col(_OFF) + F.col(_GT)).cast("int").alias(rank_col)))

@@ -16,10 +16,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.joins import estimated_size, sized_broadcast
+from strata.operators.ranking import dense_rank_values
 
 
 # Order status letter -> status code of the model.
@@ -122,12 +123,10 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct part types numbered 1.. in text order.  The window runs over
-    the distinct types only (a short list), never over the part rows."""
-    types = table(spark, sf_dir, "part").select(F.col("p_type").alias("category_name")).distinct()
-    return types.select(
-        F.dense_rank().over(Window.orderBy("category_name")).cast("int").alias("category_id"),
-        "category_name")
+    """Distinct part types numbered 1.. in text order (distributed dense rank)."""
+    types = table(spark, sf_dir, "part").select(F.col("p_type").alias("category_name"))
+    return dense_rank_values(types, "category_name", "category_id") \
+        .select("category_id", "category_name")
 
 
 def brands(spark: SparkSession, sf_dir: str) -> DataFrame:

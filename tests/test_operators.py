@@ -168,3 +168,15 @@ def test_session_keeps_explicit_settings(spark):
         assert s.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
+
+
+def test_dense_rank_values_matches_sql(spark):
+    from strata.operators.ranking import dense_rank_values
+    words = ["pear", "apple", "fig", "apple", None, "kiwi", "fig", "date"] * 30 + [f"w{i:03d}" for i in range(150)]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    ours = {r["w"]: r["r"] for r in dense_rank_values(df, "w", "r", ranges=5).collect()}
+    df.createOrReplaceTempView("dr_in")
+    ref = {r["w"]: r["r"] for r in spark.sql(
+        "SELECT w, dense_rank() OVER (ORDER BY w) AS r FROM (SELECT DISTINCT w FROM dr_in "
+        "WHERE w IS NOT NULL)").collect()}
+    assert ours == ref
