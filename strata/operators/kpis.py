@@ -42,47 +42,83 @@ def shipped_by_month(fact: DataFrame, dim_date: DataFrame, aggs: list[Column]) -
                             *[c for c in per_month.columns if c != "__month"])
 
 
-def monthly_billing(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def monthly_measures(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Every measure of the five monthly KPIs, in one pass over the shipped
+    lines (one scan of the fact instead of one per KPI table).  Averages are
+    kept as sum and count so each KPI derives them exactly."""
+    met = F.when(_flag("sla_met"), 1).otherwise(0)
+    late = F.when(_flag("is_late"), 1).otherwise(0)
+    late_delay = F.when(_flag("is_late"), F.col("delay_days"))
     return shipped_by_month(fact, dim_date, [
-        F.sum("gross_amount").alias("total_billing"),
-        F.count(F.lit(1)).alias("total_orders"),
-    ]).orderBy("year_month")
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("gross_amount").alias("sum_gross"),
+        F.sum(F.col("discount") * F.col("gross_amount")).alias("sum_discount_value"),
+        F.sum(met).cast("bigint").alias("n_on_time"),
+        F.sum(late).cast("bigint").alias("n_late"),
+        F.sum("delay_days").cast("bigint").alias("sum_delay"),
+        F.count("delay_days").alias("n_delay"),
+        F.sum(late_delay).cast("bigint").alias("sum_late_delay"),
+        F.count(late_delay).alias("n_late_delay"),
+    ])
+
+
+def _c(name: str) -> Column:
+    return F.col(name)
+
+
+def billing_from(m: DataFrame) -> DataFrame:
+    return m.select("year_month", _c("sum_gross").alias("total_billing"),
+                    _c("n_lines").alias("total_orders")).orderBy("year_month")
+
+
+def sla_from(m: DataFrame) -> DataFrame:
+    return m.select("year_month", _c("n_lines").alias("total_orders"),
+                    _c("n_on_time").alias("orders_on_time"),
+                    _ratio(_c("n_on_time"), _c("n_lines")).alias("sla_rate"),
+                    _ratio(_c("sum_delay"), _c("n_delay")).alias("avg_delay_days")
+                    ).orderBy("year_month")
+
+
+def delay_from(m: DataFrame) -> DataFrame:
+    return m.select("year_month", _c("n_lines").alias("total_orders"),
+                    _c("n_late").alias("total_late_orders"),
+                    _ratio(_c("n_late"), _c("n_lines")).alias("late_rate"),
+                    _ratio(_c("sum_late_delay"), _c("n_late_delay")).alias("avg_delay_days")
+                    ).orderBy("year_month")
+
+
+def average_ticket_from(m: DataFrame) -> DataFrame:
+    return m.select("year_month", _c("sum_gross").alias("total_revenue"),
+                    _c("n_lines").alias("total_orders"),
+                    _ratio(_c("sum_gross"), _c("n_lines")).alias("avg_ticket")
+                    ).orderBy("year_month")
+
+
+def discount_from(m: DataFrame) -> DataFrame:
+    return m.select("year_month", _c("sum_gross").alias("total_gross"),
+                    _c("sum_discount_value").alias("total_discount_value"),
+                    _ratio(_c("sum_discount_value"), _c("sum_gross")).alias("discount_rate")
+                    ).orderBy("year_month")
+
+
+def monthly_billing(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    return billing_from(monthly_measures(fact, dim_date))
 
 
 def sla(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    met = F.when(_flag("sla_met"), 1).otherwise(0)
-    return shipped_by_month(fact, dim_date, [
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum(met).cast("bigint").alias("orders_on_time"),
-        F.avg(met).alias("sla_rate"),
-        F.avg("delay_days").alias("avg_delay_days"),
-    ]).orderBy("year_month")
+    return sla_from(monthly_measures(fact, dim_date))
 
 
 def delay(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    late = F.when(_flag("is_late"), 1).otherwise(0)
-    return shipped_by_month(fact, dim_date, [
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum(late).cast("bigint").alias("total_late_orders"),
-        F.avg(late).alias("late_rate"),
-        F.avg(F.when(_flag("is_late"), F.col("delay_days"))).alias("avg_delay_days"),
-    ]).orderBy("year_month")
+    return delay_from(monthly_measures(fact, dim_date))
 
 
 def average_ticket(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return (shipped_by_month(fact, dim_date, [
-        F.sum("gross_amount").alias("total_revenue"),
-        F.count(F.lit(1)).alias("total_orders"),
-    ]).withColumn("avg_ticket", _ratio(F.col("total_revenue"), F.col("total_orders")))
-        .orderBy("year_month"))
+    return average_ticket_from(monthly_measures(fact, dim_date))
 
 
 def discount(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return (shipped_by_month(fact, dim_date, [
-        F.sum("gross_amount").alias("total_gross"),
-        F.sum(F.col("discount") * F.col("gross_amount")).alias("total_discount_value"),
-    ]).withColumn("discount_rate", _ratio(F.col("total_discount_value"), F.col("total_gross")))
-        .orderBy("year_month"))
+    return discount_from(monthly_measures(fact, dim_date))
 
 
 def top_products(fact: DataFrame, dim_product: DataFrame, materialize: bool = True) -> DataFrame:
@@ -111,6 +147,15 @@ def top_products(fact: DataFrame, dim_product: DataFrame, materialize: bool = Tr
             .orderBy(F.col("total_revenue").desc()))
 
 
+# KPI table -> projection of the shared monthly measures.
+FROM_MEASURES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "agg_monthly_billing": billing_from,
+    "agg_sla": sla_from,
+    "agg_delay": delay_from,
+    "agg_monthly_average_ticket": average_ticket_from,
+    "agg_monthly_discount": discount_from,
+}
+
 MONTHLY_KPIS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "agg_monthly_billing": monthly_billing,
     "agg_sla": sla,

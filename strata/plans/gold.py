@@ -93,10 +93,20 @@ def build_gold(silver: dict[str, DataFrame], registry: Registry | None = None,
     return gold
 
 
-def build_kpis(gold: Mapping[str, DataFrame]) -> _Lazy:
-    """Every KPI table by name, planned when first used."""
+def build_kpis(gold: Mapping[str, DataFrame], measures: DataFrame | None = None) -> _Lazy:
+    """Every KPI table by name, planned when first used.  The monthly tables
+    are projections of one monthly aggregate (``measures``; pass a staged
+    copy to compute it once for all five)."""
+    shared: dict[str, DataFrame] = {}
+
+    def monthly() -> DataFrame:
+        if "m" not in shared:
+            shared["m"] = measures if measures is not None else \
+                kpis.monthly_measures(gold["fact_sales"], gold["dim_date"])
+        return shared["m"]
+
     def build(name: str) -> DataFrame:
         if name == "agg_top_products":
             return kpis.top_products(gold["fact_sales"], gold["dim_product"])
-        return kpis.MONTHLY_KPIS[name](gold["fact_sales"], gold["dim_date"])
+        return kpis.FROM_MEASURES[name](monthly())
     return _Lazy(kpis.KPI_ORDER, build)
