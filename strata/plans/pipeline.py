@@ -110,8 +110,10 @@ def silver_load(spark: SparkSession, store: TableStore, spec: TableSpec,
     mark = silver_watermark(store, spec.name)
     bronze = store.read("bronze", spec.name, bronze_schema(spec))
     if mark is not None:
-        # partition filter: skip whole ingestion days before the mark
-        bronze = bronze.where(F.col(INGESTION_DATE) >= F.lit(mark.date()))
+        # partition filter: skip whole ingestion days before the mark.  One
+        # day of margin: the mark arrives in the driver's local time zone,
+        # which may be ahead of the session's; the exact filter follows.
+        bronze = bronze.where(F.col(INGESTION_DATE) >= F.lit(mark.date() - dt.timedelta(days=1)))
     n, newest = slice_stats(slice_since(bronze, INGESTION_TS, mark), INGESTION_TS)
     if n == 0:
         return 0
