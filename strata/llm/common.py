@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 ASCII_SPACES = " \t\n\x0b\x0c\r"
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package from where the driver has it, unless the
+    # cluster has it installed or was given a path of its own.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
