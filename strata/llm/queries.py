@@ -7,8 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, quality_classifier, quality_rules, simhash_golay
-from strata.llm.common import table
+from strata.llm import (
+    decontamination,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash_golay,
+    token_counts,
+    token_files,
+)
+from strata.llm.common import scratch_path, table
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +34,20 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus written as binary token files in the shared folder, and read back."""
+    folder = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, folder)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_golay.near_duplicates(table(spark, sf_dir, "documents"))
@@ -35,7 +67,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op5_token_files": op5_token_files,
+    "op6_packing": op6_packing,
     "op8_simhash_golay": op8_simhash_golay,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
