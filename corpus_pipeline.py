@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_rules
+from strata.llm import decontamination, packing, quality_classifier, quality_rules, simhash_golay
 from strata.llm.common import stage, table
 
 
@@ -18,8 +18,33 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return quality_rules.filter_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def apply_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents that the classifier rejects go."""
+    return quality_classifier.filter_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one document of each group of near copies stays."""
+    return simhash_golay.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents that hold a benchmark item go."""
+    return decontamination.drop_leaking(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: the token ids in sequences of at most 2048."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality_rules", apply_quality_rules),
+    ("quality_classifier", apply_quality_classifier),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("packing", pack),
 ]
 
 # Token ids of a tokenizer and trained models are beyond SQL; tests/llm holds the
