@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strata.llm import license_scan as ls
 from strata.llm import quality_rules as qr
 
 _RULE_CTES = rf"""
@@ -54,7 +55,64 @@ rejected AS (
   SELECT DISTINCT doc_id FROM metrics JOIN cutoffs USING (stratum, metric) WHERE v > cutoff)
 """
 
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_TEMPLATES = ", ".join(
+    f"({i}, '{t.label}', {str(t.base).lower()}, {_list(t.key)}, {t.key_at}, {_list(t.words)})"
+    for i, t in enumerate(ls.TEMPLATES))
+
+_LICENSES = rf"""WITH t(k, label, base, phrase, key_at, words) AS (VALUES {_TEMPLATES}),
+d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '{ls.SEPARATORS}'), lambda x: x <> '') AS w
+  FROM documents),
+starts AS (
+  SELECT doc_id, k, unnest(list_filter(range(1, len(w) + 1),
+           lambda i: w[i] = phrase[1] AND w[i : i + len(phrase) - 1] = phrase)) AS pos
+  FROM d, t WHERE list_has_all(w, phrase)),
+met AS (
+  SELECT doc_id, label, base, pos - 1 AS pos,
+         len(list_filter(range(1, len(words) + 1),
+             lambda j: starts.pos - key_at + j - 1 >= 1 AND w[starts.pos - key_at + j - 1] = words[j])) / len(words) AS cover
+  FROM starts JOIN t USING (k) JOIN d USING (doc_id)),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(pos) FILTER (WHERE base) AS first_word,
+         max(pos) FILTER (WHERE base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score
+  FROM met GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN per_doc USING (doc_id)"""
+
+_PERSPECTIVES = """WITH c AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS perspective FROM c WHERE role <> 'system'),
+s AS (
+  SELECT c.conv_id, perspective, turn, role, body, role = perspective AS own,
+         CASE WHEN role = perspective THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+              ELSE '<|user name=' || role || '|>' END || chr(10) AS head,
+         head || body || '<|end|>' || chr(10) AS segment
+  FROM c JOIN p ON c.conv_id IS NOT DISTINCT FROM p.conv_id),
+o AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+         coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM s WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role, body))
+SELECT conv_id, perspective, position, segment, CAST(start AS BIGINT) AS start,
+       CASE WHEN own THEN CAST(start + length(head) AS BIGINT) END AS mask_start,
+       CASE WHEN own THEN CAST(start + length(segment) - 1 AS BIGINT) END AS mask_end
+FROM o"""
+
 ORACLE: dict[str, str] = {
+    "op3_license_scan": _LICENSES,
+    "op4_chat_formatting": _PERSPECTIVES,
     "op10_quality_rules": f"""WITH {_RULE_CTES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    chat_formatting,
     decontamination,
+    license_scan,
     packing,
     quality_classifier,
     quality_rules,
+    sharding,
     simhash_golay,
     token_counts,
     token_files,
@@ -34,6 +37,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, labels and score of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered from every participant's perspective."""
+    return chat_formatting.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus written as binary token files in the shared folder, and read back."""
     folder = scratch_path(spark, "token-files")
@@ -48,6 +61,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document."""
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_golay.near_duplicates(table(spark, sf_dir, "documents"))
@@ -69,8 +87,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
+    "op3_license_scan": op3_license_scan,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
+    "op7_sharding": op7_sharding,
     "op8_simhash_golay": op8_simhash_golay,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,

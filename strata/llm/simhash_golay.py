@@ -251,7 +251,9 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
             if found:
                 yield batch_of(found)
 
-    keys = prints.select("fp").mapInArrow(keyed, "key long, fp long")
+    # Some ninety rows come of each fingerprint: spread them before, not after.
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = prints.select("fp").repartition(n, "fp").mapInArrow(keyed, "key long, fp long")
     together = keys.repartition("key").sortWithinPartitions("key")
     return together.mapInArrow(linked, "a long, b long").distinct()
 
