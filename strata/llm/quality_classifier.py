@@ -38,6 +38,8 @@ FIT_ROWS = 6000
 POOL_ROWS = 2000
 ROUNDS = 3
 TELLING_WORDS = 256
+# Of the many words of a sample some differ by chance; fewer than one reaches this.
+TELLING_Z = 4.5
 SURE = 0.98
 MIN_CLASS = 10
 MAX_FALSE_REJECTION = 0.002
@@ -47,6 +49,7 @@ _TO_SPACE = bytes(x if x >= 128 or chr(x).isalnum() else 32 for x in range(256))
 _UPPER = bytes(range(65, 91))
 _DIGITS = bytes(range(48, 58))
 SHAPES = 8
+PREFIXES = (5, 6, 7, 8)  # bytes
 
 
 def words_and_shape(text: str | None) -> tuple[set[bytes], list[float]]:
@@ -68,8 +71,13 @@ def words_and_shape(text: str | None) -> tuple[set[bytes], list[float]]:
     ]
 
 
-def word_hash(word: bytes) -> int:
-    return zlib.crc32(word) & 0x7FFFFFFF
+def word_features(words: set[bytes]) -> np.ndarray:
+    """Hashes of distinct words and of their beginnings (inflected and compound words
+    share these), each once."""
+    out = list(map(zlib.crc32, words))
+    for k in PREFIXES:
+        out += [zlib.crc32(p, k) for p in {w[:k] for w in words if len(w) > k}]
+    return np.unique(np.array(out, dtype=np.uint32))
 
 
 def meta_row(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
@@ -91,7 +99,7 @@ class Ridge:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 25) -> Ridge:
+    def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 25) -> Ridge:
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale[scale < 1e-9] = 1.0
         z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
@@ -115,9 +123,16 @@ def _sigmoid(v: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(v, -40, 40)))
 
 
+def _text_row(features: np.ndarray, shape: list[float], telling: np.ndarray) -> np.ndarray:
+    row = np.zeros(SHAPES + len(telling))
+    row[:SHAPES] = shape
+    row[SHAPES:] = np.isin(telling, features, assume_unique=True)
+    return row
+
+
 @dataclass
 class CoTrained:
-    telling: dict[int, int] = field(default_factory=dict)  # word hash -> column
+    telling: np.ndarray  # sorted hashes of telling words and beginnings
     text: Ridge | None = None
     meta: Ridge | None = None
     calibrated_text: Ridge | None = None
@@ -130,12 +145,8 @@ class CoTrained:
         out = []
         for t in texts:
             words, shape = words_and_shape(t)
-            row = np.zeros(SHAPES + len(self.telling), dtype=np.float32)
-            row[:SHAPES] = shape
-            for h in self.telling.keys() & set(map(word_hash, words)):
-                row[SHAPES + self.telling[h]] = 1.0
-            out.append(row)
-        return np.array(out, dtype=np.float64).reshape(len(out), SHAPES + len(self.telling))
+            out.append(_text_row(word_features(words), shape, self.telling))
+        return np.array(out).reshape(len(out), SHAPES + len(self.telling))
 
     def score(self, texts, langs, sources, lengths) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probability "good" of the text view, the metadata view, both."""
@@ -159,9 +170,9 @@ def _sure(p: np.ndarray, held: np.ndarray, y: np.ndarray, good: bool) -> np.ndar
     return np.flatnonzero(pool >= side[order[allowed[-1]]])
 
 
-def _telling(words: list[np.ndarray], y: np.ndarray, limit: int) -> dict[int, int]:
-    """Hashed words by the difference of their document frequencies (z score)."""
-    flat = np.concatenate(words) if words else np.zeros(0, np.int64)
+def _telling(words: list[np.ndarray], y: np.ndarray, limit: int) -> np.ndarray:
+    """Hashed features by the difference of their document frequencies (z score)."""
+    flat = np.concatenate(words)
     owner = np.repeat(y, [len(w) for w in words])
     ids, inverse = np.unique(flat, return_inverse=True)
     good = np.bincount(inverse, weights=owner, minlength=len(ids))
@@ -169,9 +180,8 @@ def _telling(words: list[np.ndarray], y: np.ndarray, limit: int) -> dict[int, in
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
     rate = (good + bad) / (n1 + n0)
     z = (good / n1 - bad / n0) / np.sqrt(rate * (1 - rate + 1e-9) * (1 / n1 + 1 / n0) + 1e-12)
-    use = np.flatnonzero(good + bad >= 3)
-    best = use[np.lexsort((ids[use], -np.abs(z[use])))][:limit]
-    return {int(h): i for i, h in enumerate(ids[best])}
+    use = np.flatnonzero((good + bad >= 3) & (np.abs(z) >= TELLING_Z))
+    return np.sort(ids[use[np.lexsort((ids[use], -np.abs(z[use])))][:limit]])
 
 
 def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, id_col: str, text_col: str,
@@ -187,10 +197,10 @@ def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, i
         .select("id", F.lit(-1).alias("y"))
     chosen = fit.unionByName(pool)  # at most fit_rows + pool_rows pairs of numbers
 
-    @F.udf("struct<w: array<int>, s: array<double>>")
+    @F.udf("struct<w: binary, s: array<double>>")
     def digest(text):
         words, shape = words_and_shape(text)
-        return sorted(set(map(word_hash, words))), shape
+        return word_features(words).tobytes(), shape
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"),
                        F.col(source_col).alias("src"), F.col(length_col).alias("n")) \
@@ -209,15 +219,12 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_
     y_own, y_held = (np.array([r["y"] for r in part], dtype=np.int64) for part in (own, held))
     if min(y_own.sum(), (1 - y_own).sum()) < MIN_CLASS or min(y_held.sum(), (1 - y_held).sum()) < MIN_CLASS // 3:
         return None
-    model = CoTrained(_telling([np.array(r["d"]["w"], dtype=np.int64) for r in own], y_own, TELLING_WORDS))
-    col = model.telling
+    features = lambda r: np.frombuffer(bytes(r["d"]["w"]), dtype=np.uint32)
+    model = CoTrained(_telling([features(r) for r in own], y_own, TELLING_WORDS))
 
     def text_of(part) -> np.ndarray:
-        out = np.zeros((len(part), SHAPES + len(col)))
-        for i, r in enumerate(part):
-            out[i, :SHAPES] = r["d"]["s"]
-            out[i, [SHAPES + col[h] for h in r["d"]["w"] if h in col]] = 1.0
-        return out
+        return np.array([_text_row(features(r), r["d"]["s"], model.telling) for r in part]) \
+            .reshape(len(part), SHAPES + len(model.telling))
 
     def meta_of(part) -> np.ndarray:
         return np.array([meta_row(r["l"], r["src"], r["n"]) for r in part]).reshape(len(part), 83)
