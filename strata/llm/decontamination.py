@@ -85,6 +85,10 @@ def least_distance(item: list[bytes], stretch: list[bytes]) -> tuple[int, int]:
     return best
 
 
+def missing(item: list[bytes], words: set[bytes]) -> int:
+    return len([w for w in item if w not in words])
+
+
 class SizeClass:
     """The index of the items of one size class."""
 
@@ -128,7 +132,8 @@ class SizeClass:
 
     def candidates(self, x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, item, word of the item) of windows that meet an item's window."""
-        found = [np.zeros((3, 0), dtype=np.int64)]
+        n_items, n_words = int(self.entry_item.max()) + 1, int(self.entry_at.max()) + 1
+        found = [np.zeros(0, dtype=np.int64)]
         for w in range(WALKS):
             emitted = self.walk(x, starts, w)
             for s, pick in enumerate(self.picks[w]):
@@ -142,8 +147,10 @@ class SizeClass:
                 entry = order[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
                 same = (emitted[:, window] == self.walks[w][:, entry]).sum(axis=0)
                 ok = same >= self.common
-                found.append(np.stack([starts[window[ok]], self.entry_item[entry[ok]], self.entry_at[entry[ok]]]))
-        return tuple(np.unique(np.concatenate(found, axis=1), axis=1))
+                found.append((starts[window[ok]] * n_items + self.entry_item[entry[ok]]) * n_words
+                             + self.entry_at[entry[ok]])
+        place, word = np.divmod(np.unique(np.concatenate(found)), n_words)
+        return place // n_items, place % n_items, word
 
 
 class Index:
@@ -194,9 +201,15 @@ class Index:
             doc = np.searchsorted(bases, at, "right") - 1
             for d, i, begin in zip(doc.tolist(), item.tolist(), (at - bases[doc] - word).tolist()):
                 near.setdefault((d, i), []).append(begin)
+        last, present = -1, set()
         for (d, i), begins in sorted(near.items()):
             (row, words), item = block[d], self.items[i]
             slack = allowed_edits(len(item))
+            if d != last:
+                last, present = d, set(words)
+            # Every word of the item that is nowhere near costs an edit of its own.
+            if missing(item, present) > slack:
+                continue
             best, reach = (len(item) + 1, 0), -1
             # Candidate places that overlap are searched as one stretch.
             stretches: list[list[int]] = []
@@ -208,8 +221,10 @@ class Index:
                     stretches.append([low, high])
                     reach = high
             for low, high in stretches:
-                distance, end = least_distance(item, words[low:high])
-                best = min(best, (distance, low + end))
+                stretch = words[low:high]
+                if missing(item, set(stretch)) <= slack:
+                    distance, end = least_distance(item, stretch)
+                    best = min(best, (distance, low + end))
             if best[0] <= slack:
                 for item_id in self.ids[i]:
                     yield row, item_id, best[0], len(item), best[1]
