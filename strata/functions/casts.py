@@ -14,6 +14,11 @@ from pyspark.sql import types as T
 
 from strata.registry import TYPE_MAP
 
+# A date has a year, a month and a day; Spark alone would also take a part of one.
+DATE_TEXT = r"^\s*\d{1,6}-\d{1,2}-\d{1,2}(?:[ T].*)?\s*$"
+# Number texts that only Java and Spark take for numbers.
+SUFFIXED = r"[dDfF]\s*$"
+
 
 def typed_cast(c: Column | str, type_name: str,
                source_type: T.DataType | None = None) -> Column:
@@ -28,5 +33,15 @@ def typed_cast(c: Column | str, type_name: str,
         if isinstance(source_type, (T.DoubleType, T.FloatType, T.DecimalType)):
             return F.bround(x.try_cast("double")).try_cast(target)
         # text: exact integer first (no precision loss), else round the number
-        return F.coalesce(x.try_cast(target), F.round(x.try_cast("double")).try_cast(target))
+        return F.coalesce(x.try_cast(target), F.round(_number(x)).try_cast(target))
+    if isinstance(source_type, T.StringType) or source_type is None:
+        if isinstance(target, (T.DoubleType, T.FloatType)):
+            return _number(x).try_cast(target)
+        if isinstance(target, T.DateType):
+            return F.when(x.rlike(DATE_TEXT), x.try_cast(target))
     return x.try_cast(target)
+
+
+def _number(x: Column) -> Column:
+    """Text as a double, NULL for what is no plain number (``1d``, ``1f``)."""
+    return F.when(~x.cast("string").rlike(SUFFIXED), x.try_cast("double"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from strata.functions import dates
 from strata.operators.dedup import first_by_key
-from strata.operators.joins import sized_broadcast
 from strata.operators.watermark import lookback
 
 # The attribute list of each dimension, in output order.
@@ -45,9 +44,8 @@ def dim_store(stores: DataFrame) -> DataFrame:
 
 def dim_product(products: DataFrame, categories: DataFrame, brands: DataFrame) -> DataFrame:
     """products inner-joined to their category, left-joined to their brand."""
-    cats = sized_broadcast(categories.select("category_id", "category_name")
-                           .where(F.col("category_id").isNotNull()))
-    brs = sized_broadcast(brands.select("brand_id", "brand_name"))
+    cats = categories.select("category_id", "category_name").where(F.col("category_id").isNotNull())
+    brs = brands.select("brand_id", "brand_name")
     p = products.select("product_id", "product_name", "model_year", "list_price",
                         "category_id", "brand_id")
     joined = p.join(cats, "category_id", "inner").join(brs, "brand_id", "left")

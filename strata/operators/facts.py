@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedup import first_by_key
 from strata.operators.derived import with_derived
-from strata.operators.joins import sized_broadcast
 from strata.operators.watermark import lookback
 from strata.registry import Registry, load_registry
 
@@ -37,33 +36,33 @@ def fact_sales(order_items: DataFrame, orders: DataFrame, dim_date: DataFrame,
                       "gross_amount", "net_amount")
     o = ords.select(F.col("order_id").alias("o_order_id"), "order_date", "customer_id",
                     "store_id", "staff_id", *derived)
+    # One row per grain before any dimension is joined: the rows come from the
+    # order join already partitioned by order, so nothing wide is shuffled, and
+    # a query that reads no dimension attribute joins none.  A row's date must
+    # be in the calendar and its customer known (inner joins), which only drops
+    # whole (order, customer) groups, so it commutes with the winner.
+    lines = first_by_key(oi.join(o, oi["order_id"] == o["o_order_id"], "inner").drop("o_order_id"),
+                         ["order_id", "product_id", "customer_id", "store_id"],
+                         ["order_date", "staff_id"])
     # Calendar days: bounded by the number of distinct dates.
     d = F.broadcast(dim_date.select(F.col("full_date"), F.col("date_key")))
-    c = sized_broadcast(dim_customer.select(
-        "customer_key", F.col("first_name").alias("c_first"), F.col("last_name").alias("c_last")))
-    s = sized_broadcast(dim_store.select("store_key", "store_name"))
-    st = sized_broadcast(dim_staff.select(
-        "staff_key", F.col("first_name").alias("s_first"), F.col("last_name").alias("s_last")))
-
-    j = (oi.join(o, oi["order_id"] == o["o_order_id"], "inner")
-         .join(d, F.col("order_date") == F.col("full_date"), "inner")
+    c = dim_customer.select(
+        "customer_key", F.col("first_name").alias("c_first"), F.col("last_name").alias("c_last"))
+    s = dim_store.select("store_key", "store_name")
+    st = dim_staff.select(
+        "staff_key", F.col("first_name").alias("s_first"), F.col("last_name").alias("s_last"))
+    j = (lines.join(d, F.col("order_date") == F.col("full_date"), "inner")
          .join(c, F.col("customer_id") == F.col("customer_key"), "inner")
          .join(s, F.col("store_id") == F.col("store_key"), "left")
          .join(st, F.col("staff_id") == F.col("staff_key"), "left"))
-
-    fact = j.select(
-        "order_id", "order_date", "product_id", "date_key", "customer_key",
+    return j.select(
+        "order_id", "order_date", "product_id", "date_key",
+        F.col("customer_key").cast("string").alias("customer_key"),
         F.concat(F.col("c_first"), F.lit(" "), F.col("c_last")).alias("customer_name"),
-        "store_key", "store_name", "staff_key",
+        F.col("store_key").cast("string").alias("store_key"), "store_name", "staff_key",
         F.concat(F.col("s_first"), F.lit(" "), F.col("s_last")).alias("staff_name"),
         "quantity",
         F.col("list_price").alias("unit_price"),
         (F.col("quantity") * F.col("list_price")).alias("total_item_amount"),
         "discount", "gross_amount", "net_amount", *derived,
     )
-    # Deduplicate on the integer keys (cheaper to sort), then publish the
-    # customer and store keys as text; int -> text is one-to-one, so the
-    # grain is the same.
-    one = first_by_key(fact, FACT_GRAIN)
-    return one.withColumns({"customer_key": F.col("customer_key").cast("string"),
-                            "store_key": F.col("store_key").cast("string")})

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.dates import year_month
-from strata.operators.joins import sized_broadcast
 from strata.operators.ranking import global_rank
-from strata.session import ensure_checkpoint_dir
+from strata.session import stage
 
 
 def _flag(c: str) -> Column:
@@ -121,7 +120,7 @@ def discount(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return discount_from(monthly_measures(fact, dim_date))
 
 
-def top_products(fact: DataFrame, dim_product: DataFrame, materialize: bool = True) -> DataFrame:
+def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Revenue per product, its global rank and its share of all revenue.
 
     The fact is aggregated per product *before* the join (one row per
@@ -132,13 +131,11 @@ def top_products(fact: DataFrame, dim_product: DataFrame, materialize: bool = Tr
     per_product = (fact.where(_flag("is_shipped")).groupBy("product_id")
                    .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
                         F.sum("gross_amount").alias("total_revenue")))
-    p = sized_broadcast(dim_product.select("product_id", "product_name"))
+    p = dim_product.select("product_id", "product_name")
     agg = per_product.join(p, "product_id", "inner")
-    if materialize:
-        # read three times below (quantiles, ranks, total): compute it once,
-        # into the cluster's checkpoint folder
-        ensure_checkpoint_dir(agg.sparkSession)
-        agg = agg.checkpoint(eager=True)
+    # Read three times below (values, ranks, total): computed once, so that all
+    # of them see the same sums.
+    agg = stage(agg, "product-revenue")
     total = agg.agg(F.sum("total_revenue")).scalar()
     ranked = global_rank(agg, "total_revenue", "revenue_rank", descending=True)
     return (ranked.select("product_id", "product_name", "total_quantity", "total_revenue",

@@ -2,24 +2,23 @@
 
 ``merge_upsert(target, source, keys)`` returns the merged table:
 
-* a source row whose key matches a target row replaces it - always, or only
-  when ``changed`` says the row differs (e.g. the row hashes differ);
-* a source row without a match is inserted;
-* a target row without a match is kept.
-
-Two physical forms, same result:
-
-* ``shuffle``: one full outer join on the keys; each side is shuffled once.
-* ``broadcast``: when the incoming rows pass the broadcast size check (the
-  usual incremental load against a large table), the target is only
-  *streamed* against a broadcast of the source - an anti join keeps the
-  target rows that are not replaced, a semi join finds the unchanged
-  matches - so the large side is never shuffled.
-
-``strategy="auto"`` picks ``broadcast`` when the source's estimated size is
-under the limit.  ``null_safe=True`` matches NULL keys to each other
-(``<=>``); ``False`` is plain ``=``: a NULL key never matches, so such
-source rows are inserted again on every merge.
+* a target row with a matching source row is replaced by it - always, or only
+  when the row hashes differ;
+* a target row without a match is kept;
+* a source row without a match is inserted.
+
+The target is left-joined to the source (Spark broadcasts a small source, so a
+large target is only streamed, or shuffles both on the keys), and the source's
+new rows come from an anti join against the target's keys alone.  The meaning
+does not depend on which physical join Spark picks.
+
+A key may occur once in the source (``require_unique`` checks it, and the table
+store calls it before a merge): with two source rows for one target row there
+is no right winner.  Repeated target rows of a key are each updated.
+
+``null_safe=True`` matches NULL keys to each other (``<=>``); ``False`` is plain
+``=``: a NULL key never matches, so such source rows are inserted again on
+every merge.
 """
 
 from __future__ import annotations
@@ -29,81 +28,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import conf_bytes, estimated_size
-
-# Largest probe (keys + hash of the incoming rows) broadcast by a merge;
-# session setting ``strata.merge.broadcastMaxBytes`` overrides it.
-MERGE_BROADCAST_CONF = "strata.merge.broadcastMaxBytes"
-MERGE_BROADCAST_LIMIT = 256 * 1024 * 1024
-
-_T, _S = "__t_", "__s_"
-_T_HIT, _S_HIT = "__t_present", "__s_present"
+_S, _HIT = "__s_", "__s_present"
 
 
 def _key_condition(keys: list[str], null_safe: bool) -> Column:
-    conds = [F.col(_T + k).eqNullSafe(F.col(_S + k)) if null_safe
-             else F.col(_T + k) == F.col(_S + k) for k in keys]
+    conds = [F.col(k).eqNullSafe(F.col(_S + k)) if null_safe else F.col(k) == F.col(_S + k) for k in keys]
     return reduce(lambda a, b: a & b, conds)
 
 
+def require_unique(source: DataFrame, keys: list[str], null_safe: bool = True) -> None:
+    """Raise when a key occurs twice in ``source`` (one aggregation; one row comes
+    back).  Under plain ``=`` a key with a NULL matches nothing and may repeat."""
+    rows = source if null_safe else source.dropna(subset=keys)
+    twice = rows.groupBy(*keys).count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"merge source has {twice['count']} rows for key "
+                         f"{ {k: twice[k] for k in keys} }")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
-                 hash_col: str | None = None, null_safe: bool = True,
-                 strategy: str = "auto", broadcast_limit: int | None = None) -> DataFrame:
+                 hash_col: str | None = None, null_safe: bool = True) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``.
 
     ``hash_col``: update a matched row only when ``target.hash <> source.hash``
     (NULL on either side counts as unchanged).  ``None`` updates every match.
     Columns of the result are the target's; the source must have them all.
-    ``strategy``: ``auto``, ``broadcast`` or ``shuffle`` (see module doc).
     """
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks target columns: {missing}")
-    if strategy == "auto":
-        limit = (conf_bytes(source.sparkSession, MERGE_BROADCAST_CONF, MERGE_BROADCAST_LIMIT)
-                 if broadcast_limit is None else broadcast_limit)
-        # only the keys and the hash of the incoming rows are broadcast
-        size = estimated_size(source.select(*keys, *([hash_col] if hash_col else [])))
-        strategy = "broadcast" if size is not None and 0 <= size <= limit else "shuffle"
-    if strategy == "broadcast":
-        return _merge_broadcast(target, source.select(*cols), keys, hash_col, null_safe)
-    if strategy != "shuffle":
-        raise ValueError(f"strategy must be auto, broadcast or shuffle, got {strategy!r}")
-    t = target.select(*[F.col(c).alias(_T + c) for c in cols], F.lit(True).alias(_T_HIT))
-    s = source.select(*[F.col(c).alias(_S + c) for c in cols], F.lit(True).alias(_S_HIT))
-    joined = t.join(s, _key_condition(keys, null_safe), "full_outer")
-    take_source = F.col(_S_HIT).isNotNull() & F.col(_T_HIT).isNull()
-    if hash_col is None:
-        take_source = F.col(_S_HIT).isNotNull()
-    else:
-        changed = F.coalesce(F.col(_T + hash_col) != F.col(_S + hash_col), F.lit(False))
-        take_source = take_source | (F.col(_S_HIT).isNotNull() & changed)
-    return joined.select(*[F.when(take_source, F.col(_S + c)).otherwise(F.col(_T + c)).alias(c)
-                           for c in cols])
-
-
-
-def _merge_broadcast(target: DataFrame, source: DataFrame, keys: list[str],
-                     hash_col: str | None, null_safe: bool) -> DataFrame:
-    probe_cols = keys + ([hash_col] if hash_col else [])
-    probe = F.broadcast(source.select(*[F.col(c).alias(_S + c) for c in probe_cols]))
-    t = target.select(*[F.col(c).alias(_T + c) for c in target.columns])
+    s = source.select(*[F.col(c).alias(_S + c) for c in cols], F.lit(True).alias(_HIT))
     on = _key_condition(keys, null_safe)
-    if hash_col is None:
-        replaced, unchanged = on, None
-    else:
-        changed = F.coalesce(F.col(_T + hash_col) != F.col(_S + hash_col), F.lit(False))
-        replaced, unchanged = on & changed, on & ~changed
-    # target rows that no source row replaces (streamed, never shuffled)
-    kept = t.join(probe, replaced, "left_anti")
-    kept = kept.select(*[F.col(_T + c).alias(c) for c in target.columns])
-    if unchanged is None:
-        return kept.unionByName(source)
-    # source rows whose key already holds an equal row are not inserted
-    same = t.join(probe, unchanged, "left_semi").select(*[F.col(_T + k) for k in keys])
-    s = source.select(*[F.col(c).alias(_S + c) for c in source.columns])
-    cond = _key_condition(keys, null_safe)
-    fresh = s.join(same, cond, "left_anti")
-    fresh = fresh.select(*[F.col(_S + c).alias(c) for c in source.columns])
-    return kept.unionByName(fresh)
+    take = F.col(_HIT).isNotNull()
+    if hash_col is not None:
+        take = take & F.coalesce(F.col(hash_col) != F.col(_S + hash_col), F.lit(False))
+    kept = target.join(s, on, "left").select(
+        *[F.when(take, F.col(_S + c)).otherwise(F.col(c)).alias(c) for c in cols])
+    new = s.join(target.select(*keys), on, "left_anti").select(*[F.col(_S + c).alias(c) for c in cols])
+    return kept.unionByName(new)

@@ -1,4 +1,4 @@
-"""Global RANK() without a single-partition window.
+"""Global RANK() and dense rank without a single-partition window.
 
 ``RANK() OVER (ORDER BY x DESC)`` in plain Spark moves every row into one
 partition.  Here the rank of a row is 1 + the number of rows with a greater
@@ -6,11 +6,11 @@ value, computed as:
 
 1. count rows per distinct value (map-side combined, so a value shared by a
    third of all rows is one row per map task);
-2. split the distinct values into ``n`` ranges at approximate quantiles (the
-   boundaries are the only thing collected: ``n - 1`` numbers);
-3. inside each range, a window sums the counts of the greater values;
-4. each range adds the row count of all greater ranges (a table of ``n``
-   rows, broadcast by construction);
+2. range-partition the distinct values (Spark samples the bounds) and stage them
+   with their range's number: the bounds are drawn once, whatever reads them;
+3. inside each range, a window sums the counts of the values before;
+4. each range adds the row count of all ranges before (a table of one row per
+   range);
 5. join the value ranks back on the value.
 """
 
@@ -19,68 +19,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import stage
+
 _N, _B, _OFF, _GT = "__n", "__bucket", "__offset", "__greater"
 
 
-def _ascending_bucket(x: Column, bounds: list[float], lo: int, hi: int) -> Column:
-    """Number of bounds <= x, by binary search over bounds[lo:hi]."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x < F.lit(bounds[mid]), _ascending_bucket(x, bounds, lo, mid)) \
-        .otherwise(_ascending_bucket(x, bounds, mid + 1, hi))
+def _ranges(spark, asked: int | None) -> int:
+    return max(1, asked or int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _with_rows_before(vals: DataFrame, order: Column, ranges: int) -> DataFrame:
+    """``vals`` (a value column and ``_N`` rows each) with ``_GT``, the rows of all
+    values before, in ``order``."""
+    ranged = stage(vals.repartitionByRange(ranges, order).withColumn(_B, F.spark_partition_id()), "rank")
+    before = (Window.unboundedPreceding, -1)
+    w = Window.partitionBy(_B).orderBy(order).rowsBetween(*before)
+    local = ranged.withColumn(_GT, F.coalesce(F.sum(_N).over(w), F.lit(0)))
+    # One row per range, so this window and the broadcast are bounded.
+    per_range = ranged.groupBy(_B).agg(F.sum(_N).alias(_N))
+    offsets = per_range.select(
+        _B, F.coalesce(F.sum(_N).over(Window.orderBy(_B).rowsBetween(*before)), F.lit(0)).alias(_OFF))
+    return local.join(F.broadcast(offsets), _B).withColumn(_GT, F.col(_GT) + F.col(_OFF)).drop(_B, _OFF)
 
 
 def global_rank(df: DataFrame, col: str, rank_col: str = "rank",
                 descending: bool = True, buckets: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = SQL ``RANK()`` over ``col`` (numeric), as bigint.
-    NULLs rank after every value."""
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, n)
+    """Add ``rank_col`` = SQL ``RANK()`` over ``col``, as bigint.  NULLs rank after
+    every value.  ``df`` is read twice: stage it when its values are not computed
+    the same way twice (sums of doubles)."""
     vals = df.groupBy(col).agg(F.count(F.lit(1)).alias(_N))
-    probs = [i / n for i in range(1, n)]
-    bounds = sorted(set(q for q in vals.where(F.col(col).isNotNull())
-                        .approxQuantile(col, probs, 0.001) if q is not None)) if probs else []
-    k = len(bounds)
-    x = F.col(col).cast("double")
-    asc = _ascending_bucket(x, bounds, 0, k)
-    bucket = (F.lit(k) - asc) if descending else asc
-    bucket = F.when(F.col(col).isNull(), F.lit(k + 1)).otherwise(bucket)
-    vals = vals.withColumn(_B, bucket)
-
     order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
-    w = Window.partitionBy(_B).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = vals.withColumn(_GT, F.coalesce(F.sum(_N).over(w), F.lit(0)))
-
-    # <= k + 2 rows: one per range, so the window and the broadcast are bounded.
-    per_bucket = vals.groupBy(_B).agg(F.sum(_N).alias(_N))
-    wb = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(_B, F.coalesce(F.sum(_N).over(wb), F.lit(0)).alias(_OFF))
-
-    ranks = (local.join(F.broadcast(offsets), _B)
-             .select(F.col(col).alias("__v"),
-                     (F.lit(1) + F.col(_OFF) + F.col(_GT)).cast("bigint").alias(rank_col)))
+    ranks = _with_rows_before(vals, order, _ranges(df.sparkSession, buckets)).select(
+        F.col(col).alias("__v"), (F.lit(1) + F.col(_GT)).cast("bigint").alias(rank_col))
     return df.join(ranks, df[col].eqNullSafe(ranks["__v"]), "inner").drop("__v")
 
 
 def dense_rank_values(df: DataFrame, col: str, rank_col: str = "rank",
                       ranges: int | None = None) -> DataFrame:
     """Distinct non-NULL values of ``col`` (any orderable type) numbered
-    1, 2, ... in ascending order, without a single-partition window.
-
-    The distinct values are range-partitioned (Spark samples the bounds;
-    equal values share a range), numbered inside each range, and shifted by
-    the count of all lower ranges (a table of one row per range).
-    """
-    spark = df.sparkSession
-    n = max(1, ranges or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
-    ranged = vals.repartitionByRange(n, F.col(col).asc()).withColumn(_B, F.spark_partition_id())
-    w = Window.partitionBy(_B).orderBy(F.col(col).asc())
-    local = ranged.withColumn(_GT, F.row_number().over(w))
-    per_range = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
-    wb = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(_B, F.coalesce(F.sum(_N).over(wb), F.lit(0)).alias(_OFF))
-    return (local.join(F.broadcast(offsets), _B)
-            .select(col, (F.col(_OFF) + F.col(_GT)).cast("int").alias(rank_col)))
+    1, 2, ... in ascending order, without a single-partition window."""
+    vals = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn(_N, F.lit(1))
+    placed = _with_rows_before(vals, F.col(col).asc(), _ranges(df.sparkSession, ranges))
+    return placed.select(col, (F.col(_GT) + 1).cast("int").alias(rank_col))

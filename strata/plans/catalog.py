@@ -20,7 +20,6 @@ from strata.functions.text import clean_text as clean_text_col
 from strata.operators import kpis
 from strata.operators.dedup import latest_by_key
 from strata.operators.derived import with_derived
-from strata.operators.joins import sized_broadcast
 from strata.operators.merge import merge_upsert
 from strata.operators.projection import typed_projection, with_calendar_split
 from strata.operators.quality import apply_quality, apply_quality_raw
@@ -171,7 +170,7 @@ def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, first, _ = _event_loads(spark, sf_dir)
     marks = watermarks_per_table(first.select(F.col("event_type").alias("table_name"),
                                               F.col("ts").alias("last_watermark")))
-    j = e.join(sized_broadcast(marks), e["event_type"] == marks["table_name"], "left")
+    j = e.join(marks, e["event_type"] == marks["table_name"], "left")
     return j.where(F.col("last_watermark").isNull() | (F.col("ts") > F.col("last_watermark"))) \
         .select(*e.columns)
 

@@ -23,19 +23,22 @@ from strata.operators.projection import (
 )
 from strata.operators.quality import apply_quality_raw
 from strata.operators.watermark import (
-    PROCESSED_SCHEMA, WATERMARK_SCHEMA, slice_since, slice_stats, watermark_of,
+    PROCESSED_SCHEMA, WATERMARK_SCHEMA, slice_since, watermark_of,
 )
 from strata.operators import kpis
+from strata.operators.changes import changed_orders
 from strata.plans import gold as gold_plan
 from strata.plans.silver import silver_dataset
 from strata.registry import INGESTION_DATE, Registry, TableSpec, load_registry
-from strata.sources.landing import landing_path, read_landing
+from strata.sources.landing import CORRUPT, landing_path, read_landing
 from strata.sources.store import TableStore
 
 log = logging.getLogger(__name__)
 
 SILVER_MARKS = "silver_watermark"
 GOLD_MARKS = "gold_watermark"
+GOLD_CHANGES = "gold_changes"
+REJECTS = "rejected_rows"
 # Silver tables the gold layer reads.
 GOLD_INPUTS = ["orders", "order_items", "customers", "staffs", "stores", "products",
                "categories", "brands"]
@@ -52,6 +55,7 @@ class PipelineConfig:
     null_safe_merge: bool = True
     lookback_days: int = 7
     table_format: str = "parquet"
+    multi_line_csv: bool = True
 
     def table_names(self) -> list[str]:
         return list(self.tables or self.registry.keys())
@@ -77,15 +81,29 @@ def bronze_frame(raw: DataFrame, spec: TableSpec, batch_id: str) -> DataFrame:
     return out.select(*bronze_schema(spec).fieldNames())
 
 
+def rejects(raw: DataFrame, spec: TableSpec, batch_id) -> DataFrame:
+    """The malformed rows of ``raw`` for the log; ``batch_id``: text or a column."""
+    return raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(spec.name).alias("table_name"), F.col(CORRUPT).alias("row_text"),
+        F.array(*spec.column_names).alias("fields"), "_source_file",
+        F.current_timestamp().alias(INGESTION_TS), F.lit(batch_id).alias("_batch_id"))
+
+
 def bronze_load(spark: SparkSession, store: TableStore, spec: TableSpec, source: str,
-                batch_id: str | None = None) -> int:
+                batch_id: str | None = None, multi_line: bool = True) -> int:
     """Append one landing file (or folder) to the table's bronze history;
-    returns the number of rows appended (observed during the write)."""
+    returns the number of rows appended (observed during the write).  Rows that
+    are no CSV rows of this table go to the control log ``rejected_rows``."""
     batch = batch_id or uuid.uuid4().hex
-    obs = Observation(f"bronze_{spec.name}")
-    df = bronze_frame(read_landing(spark, spec, source), spec, batch)
+    obs, seen = Observation(f"bronze_{spec.name}"), Observation(f"landing_{spec.name}")
+    raw = read_landing(spark, spec, source, multi_line)
+    whole = raw.observe(seen, F.count(CORRUPT).alias("rejected")).where(F.col(CORRUPT).isNull())
+    df = bronze_frame(whole, spec, batch)
     store.append("bronze", spec.name, df.observe(obs, F.count(F.lit(1)).alias("rows")),
                  partition_by=spec.partition_by)
+    if seen.get["rejected"]:
+        log.warning("%s: %d malformed rows", source, seen.get["rejected"])
+        store.append("control", REJECTS, rejects(raw, spec, batch))
     return int(obs.get["rows"])
 
 
@@ -114,18 +132,24 @@ def silver_load(spark: SparkSession, store: TableStore, spec: TableSpec,
         # day of margin: the mark arrives in the driver's local time zone,
         # which may be ahead of the session's; the exact filter follows.
         bronze = bronze.where(F.col(INGESTION_DATE) >= F.lit(mark.date() - dt.timedelta(days=1)))
-    n, newest = slice_stats(slice_since(bronze, INGESTION_TS, mark), INGESTION_TS)
+    obs = Observation(f"silver_{spec.name}")
+    sliced = slice_since(bronze, INGESTION_TS, mark).observe(
+        obs, F.count(F.lit(1)).alias("n"), F.max(INGESTION_TS).alias("newest"))
+    incoming = store.stage(silver_dataset(sliced, spec, None, collapse), f"silver-{spec.name}")
+    n, newest = int(obs.get["n"]), obs.get["newest"]
     if n == 0:
         return 0
-    incoming = store.stage(silver_dataset(bronze, spec, mark, collapse), f"silver-{spec.name}")
     store.upsert("silver", spec.name, incoming, spec.primary_key, hash_col="row_hash",
                  null_safe=null_safe)
     # the mark advances over every row read, accepted or not
-    store.append("control", SILVER_MARKS,
-                 spark.createDataFrame([(spec.name, newest)], WATERMARK_SCHEMA))
+    add_mark(spark, store, SILVER_MARKS, spec.name, newest)
     return n
 
 
+def add_mark(spark: SparkSession, store: TableStore, log_table: str, table: str, newest: dt.datetime) -> None:
+    store.append("control", log_table, spark.createDataFrame([(table, newest)], WATERMARK_SCHEMA))
+
+
 # -------------------------------------------------------------------- gold --
 def gold_mark(store: TableStore, table: str) -> dt.date | None:
     control = _marks(store, GOLD_MARKS, PROCESSED_SCHEMA)
@@ -150,11 +174,20 @@ def upsert_table(store: TableStore, layer: str, table: str, df: DataFrame,
 
 
 def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> dict[str, int]:
+    """Dimensions, calendar and fact.  The calendar and the fact are rebuilt for
+    the orders that changed since the last load (``operators.changes``) and merged."""
     silver = {t: store.read("silver", t) for t in GOLD_INPUTS}
     out: dict[str, int] = {}
+    changes = _marks(store, GOLD_CHANGES, WATERMARK_SCHEMA)
+    since = None if changes is None else watermark_of(changes, "fact_sales")
+    # read before anything is built: rows that arrive meanwhile are next time's
+    newest = max((m for m in (silver[t].agg(F.max(INGESTION_TS)).first()[0] for t in GOLD_INPUTS) if m),
+                 default=None)
+    last = gold_mark(store, "fact_sales")
+    if since is not None:
+        silver["orders"] = store.stage(changed_orders(silver, since, last, cfg.lookback_days), "gold-orders")
 
-    last = gold_mark(store, "dim_date")
-    dims = gold_plan.build_dimensions(silver, last)
+    dims = gold_plan.build_dimensions(silver)
     dim_date = store.stage(dims["dim_date"], "gold-dim_date")
     out["dim_date"] = n = dim_date.count()
     if n:
@@ -166,14 +199,15 @@ def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> di
 
     gold = {n: store.read("gold", n) for n in ("dim_date", "dim_customer", "dim_store",
                                                 "dim_staff")}
-    last = gold_mark(store, "fact_sales")
-    fact = gold_plan.build_fact(silver, gold, cfg.registry, last_date=last, as_of=cfg.as_of)
+    fact = gold_plan.build_fact(silver, gold, cfg.registry, as_of=cfg.as_of)
     staged = store.stage(fact, "gold-fact_sales")
     out["fact_sales"] = n = staged.count()
     if n:
         store.upsert("gold", "fact_sales", staged, gold_plan.GOLD_KEYS["fact_sales"])
-        newest = staged.agg(key_to_date(F.max("date_key"))).first()[0]
-        set_gold_mark(spark, store, "fact_sales", newest)
+        date = staged.agg(key_to_date(F.max("date_key"))).first()[0]
+        set_gold_mark(spark, store, "fact_sales", date if last is None else max(last, date))
+    if newest is not None:
+        add_mark(spark, store, GOLD_CHANGES, "fact_sales", newest)
     return out
 
 
@@ -189,7 +223,8 @@ def kpi_load(spark: SparkSession, store: TableStore) -> dict[str, int]:
         staged = store.stage(df, f"kpi-{name}")
         out[name] = n = staged.count()
         if n:
-            store.write_snapshot("gold", name, staged.coalesce(1) if n < 1_000_000 else staged)
+            store.write_snapshot("gold", name, staged)
+            store.vacuum("gold", name)
     return out
 
 
@@ -201,22 +236,28 @@ def run(spark: SparkSession, cfg: PipelineConfig,
     store.ensure_layers()
     report: dict[str, dict] = {}
     names = cfg.table_names()
-    if "bronze" in layers:
-        report["bronze"] = {}
-        for t in names:
-            src = landing_path(cfg.landing_dir, t)
-            if not store.path_exists(src):
-                log.warning("no landing file for %s at %s; skipped", t, src)
-                report["bronze"][t] = 0
-                continue
-            report["bronze"][t] = bronze_load(spark, store, cfg.registry.spec(t), src)
-    if "silver" in layers:
-        report["silver"] = {t: silver_load(spark, store, cfg.registry.spec(t), cfg.collapse,
-                                           cfg.null_safe_merge) for t in names}
-    if "gold" in layers:
-        report["gold"] = gold_load(spark, store, cfg)
-    if "kpi" in layers:
-        report["kpi"] = kpi_load(spark, store)
-    store.drop_staged()
+    try:
+        if "bronze" in layers:
+            report["bronze"] = {}
+            for t in names:
+                src = landing_path(cfg.landing_dir, t)
+                if not store.path_exists(src):
+                    log.warning("no landing file for %s at %s; skipped", t, src)
+                    report["bronze"][t] = 0
+                    continue
+                report["bronze"][t] = bronze_load(spark, store, cfg.registry.spec(t), src,
+                                                  multi_line=cfg.multi_line_csv)
+            known = {f"{t}.csv" for t in cfg.registry}
+            for other in sorted(set(store.list_names(cfg.landing_dir)) - known):
+                log.warning("%s/%s is no table of the registry; left alone", cfg.landing_dir, other)
+        if "silver" in layers:
+            report["silver"] = {t: silver_load(spark, store, cfg.registry.spec(t), cfg.collapse,
+                                               cfg.null_safe_merge) for t in names}
+        if "gold" in layers:
+            report["gold"] = gold_load(spark, store, cfg)
+        if "kpi" in layers:
+            report["kpi"] = kpi_load(spark, store)
+    finally:
+        store.drop_staged()
     log.info("pipeline report: %s", report)
     return report

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on for plan quality.  Each one is applied only
 # when neither the cluster (spark-submit / defaults file) nor the session has
@@ -65,7 +66,8 @@ def build_session(master: str | None = None, app_name: str = "strata",
         if not session_conf.contains(k) and not context_conf.contains(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir(spark) or is_local(spark):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -77,14 +79,29 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process (tests, a single machine)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is configured (tests,
-    local runs) fall back to a fresh scratch folder."""
+    """The cluster's shared checkpoint folder.  Only a local session may go
+    without one: it gets a fresh scratch folder."""
     d = checkpoint_dir(spark)
-    if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
+    if d is None:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: cuts the
+    lineage, survives a lost executor, and gives the planner the real size."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-stage/{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 """Layered table store on any Hadoop-compatible file system.
 
-* ``bronze`` tables are append-only parquet directories partitioned by
-  ingestion date (new loads never rewrite old files).
+* ``bronze`` tables and the control logs (``LOGS``) are append-only parquet
+  directories in either format; new loads never rewrite old files.
 * every other table is a sequence of immutable parquet snapshots
   ``<root>/<layer>/<table>/v00000001``; a snapshot counts once Spark's
   commit marker ``_SUCCESS`` is in it, and readers take the newest one.  A
@@ -25,10 +25,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.operators.merge import merge_upsert, require_unique
 from strata.session import ensure_checkpoint_dir
 
 LAYERS = ("bronze", "silver", "gold", "control")
 _VERSION = re.compile(r"^v(\d{8})$")
+# Control tables that are only ever appended to.
+LOGS = frozenset({"silver_watermark", "gold_changes", "rejected_rows"})
+
+
+def is_append_only(layer: str, table: str) -> bool:
+    """One notion for ``exists``, ``read`` and ``append``."""
+    return layer == "bronze" or layer == "control" and table in LOGS
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -41,6 +49,13 @@ def delta_available(spark: SparkSession) -> bool:
         return False
 
 
+def rebalanced(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Rows dealt so that AQE writes files near its advisory partition size (the
+    target file size), by table partition where there is one; large partitions
+    are split, small ones merged."""
+    return df.hint("rebalance", *(partition_by or []))
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, format: str = "parquet"):
         if format not in ("parquet", "delta"):
@@ -70,6 +85,11 @@ class TableStore:
         """Whether any file system path (e.g. a landing file) exists."""
         return self._exists(path)
 
+    def list_names(self, path: str) -> list[str]:
+        """Names in a folder (empty when there is none)."""
+        fs, p = self._hpath(path)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
     def ensure_layers(self) -> None:
         """Create the layer folders (the namespaces of the lake)."""
         for layer in LAYERS:
@@ -92,7 +112,7 @@ class TableStore:
         return sorted(out)
 
     def exists(self, layer: str, table: str) -> bool:
-        if layer == "bronze":
+        if is_append_only(layer, table):
             return self._exists(self.path(layer, table))
         if self.format == "delta":
             return self._exists(f"{self.path(layer, table)}/_delta_log")
@@ -111,7 +131,7 @@ class TableStore:
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        if layer == "bronze":
+        if is_append_only(layer, table):
             return reader.parquet(self.path(layer, table))
         if self.format == "delta":
             if version is not None:
@@ -130,7 +150,7 @@ class TableStore:
             return -1
         vs = self.versions(layer, table)
         version = (vs[-1] + 1) if vs else 1
-        w = df.write.mode("errorifexists")
+        w = rebalanced(df, partition_by).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.path(layer, table)}/v{version:08d}")
@@ -139,23 +159,29 @@ class TableStore:
     def append(self, layer: str, table: str, df: DataFrame,
                partition_by: list[str] | None = None) -> None:
         """Append files to an append-only table (bronze, control logs)."""
-        w = df.write.mode("append")
+        if not is_append_only(layer, table):
+            raise ValueError(f"{layer}.{table} is not append-only")
+        w = rebalanced(df, partition_by).write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(layer, table))
 
     def upsert(self, layer: str, table: str, incoming: DataFrame, keys: list[str],
-               hash_col: str | None = None, null_safe: bool = True) -> None:
+               hash_col: str | None = None, null_safe: bool = True,
+               partition_by: list[str] | None = None) -> None:
         """Create the table from ``incoming``, or merge ``incoming`` into it
-        (see ``operators.merge.merge_upsert`` for the semantics)."""
+        (see ``operators.merge.merge_upsert`` for the semantics; ``incoming`` is
+        read several times, so stage it).  Fails when a key occurs twice in it.
+        Old snapshots but the last two go."""
+        require_unique(incoming, keys, null_safe)
         if not self.exists(layer, table):
-            self.write_snapshot(layer, table, incoming)
+            self.write_snapshot(layer, table, incoming, partition_by)
         elif self.format == "delta":
             _delta_merge(self.spark, self.path(layer, table), incoming, keys, hash_col, null_safe)
         else:
-            from strata.operators.merge import merge_upsert
             merged = merge_upsert(self.read(layer, table), incoming, keys, hash_col, null_safe)
-            self.write_snapshot(layer, table, merged)
+            self.write_snapshot(layer, table, merged, partition_by)
+            self.vacuum(layer, table)
 
     # ------------------------------------------------------------ views --
     def register(self, layer: str, table: str, schema: T.StructType | None = None) -> str:
@@ -182,7 +208,7 @@ class TableStore:
 
     def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` snapshots; returns the removed ones."""
-        if self.format == "delta" or layer == "bronze":
+        if self.format == "delta" or is_append_only(layer, table):
             return []
         old = self.versions(layer, table)[:-keep] if keep > 0 else []
         for v in old:

@@ -19,7 +19,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import estimated_size, sized_broadcast
 from strata.operators.ranking import dense_rank_values
 
 
@@ -36,36 +35,9 @@ def _null_text():
     return F.lit(None).cast("string")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table (schema read once per session and path)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _TABLES[key] = spread(spark.read.parquet(path))
-    return df
-
-
-# Below this size a scan is cheap enough for one task.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A parquet file is split by row group; the benchmark files hold one row
-    group each, so without this every plan would run its scan side (joins,
-    partial aggregates) in a single task.  Large tables of many files have
-    enough splits and are returned unchanged (no extra shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = estimated_size(df) or 0
-    if size < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    """The parquet table, as many splits as its files have."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _after_hash(c: str):
@@ -138,7 +110,7 @@ def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    cats = sized_broadcast(categories(spark, sf_dir))
+    cats = categories(spark, sf_dir)
     return p.join(cats, p["p_type"] == cats["category_name"], "inner").select(
         F.col("p_partkey").cast("int").alias("product_id"),
         _after_hash("p_brand").cast("int").alias("brand_id"),
@@ -152,12 +124,12 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(sized_broadcast(r), n["n_regionkey"] == r["r_regionkey"], "inner")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"], "inner")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    nr = sized_broadcast(_nation_region(spark, sf_dir))
+    nr = _nation_region(spark, sf_dir)
     return c.join(nr, c["c_nationkey"] == nr["n_nationkey"], "inner").select(
         F.col("c_custkey").cast("int").alias("customer_id"),
         F.lit("Customer").alias("first_name"),

@@ -7,9 +7,10 @@ processes everything that has arrived and stops, so the same code runs as a
 scheduled batch job or continuously with a processing-time trigger.
 
 Each micro-batch: lineage + quality -> staged in the shared checkpoint
-folder -> appended to bronze -> typed, deduplicated, hashed -> merged into
-the silver snapshot.  A replayed batch re-merges the same rows, which leaves
-silver unchanged.
+folder -> appended to bronze, unless bronze holds the rows of that file ->
+the batch form's silver load from the table's watermark.  So a batch that is
+replayed, also under a new checkpoint, appends nothing twice, and stream and
+batch loads may take turns.
 """
 
 from __future__ import annotations
@@ -18,49 +19,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.plans.pipeline import bronze_frame
-from strata.plans.silver import silver_dataset
+from strata.plans.pipeline import REJECTS, bronze_frame, bronze_schema, rejects, silver_load
 from strata.registry import Registry, TableSpec, load_registry
 from strata.session import ensure_checkpoint_dir
+from strata.sources.landing import CORRUPT, configured_reader, landing_columns, landing_schema
 from strata.sources.store import TableStore
 
 
-def _source(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
-    return (spark.readStream.schema(spec.raw_schema())
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("pathGlobFilter", "*.csv")
-            .option("maxFilesPerTrigger", 1000)
-            .option("recursiveFileLookup", True)
-            .csv(folder)
-            .select(*spec.column_names, F.col("_metadata.file_name").alias("_source_file")))
+def _source(spark: SparkSession, spec: TableSpec, folder: str, multi_line: bool) -> DataFrame:
+    schema = landing_schema(spark, spec, folder, multi_line, recursive=True)
+    reader = (configured_reader(spark.readStream, schema, multi_line)
+              .option("maxFilesPerTrigger", 1000).option("recursiveFileLookup", True))
+    return landing_columns(reader.csv(folder), spec)
 
 
-def _batch_writer(store: TableStore, spec: TableSpec, collapse: str, null_safe: bool,
-                  query_id: str):
+def _batch_writer(spark: SparkSession, store: TableStore, spec: TableSpec, collapse: str, null_safe: bool):
     def write(batch: DataFrame, epoch: int) -> None:
-        bronze = store.stage(bronze_frame(batch, spec, f"{query_id}-{epoch}"),
-                             f"stream-{spec.name}")
-        store.append("bronze", spec.name, bronze, partition_by=spec.partition_by)
-        incoming = store.stage(silver_dataset(bronze, spec, None, collapse),
-                               f"stream-silver-{spec.name}")
-        store.upsert("silver", spec.name, incoming, spec.primary_key, hash_col="row_hash",
-                     null_safe=null_safe)
-        store.drop_staged()
+        # A file is one batch of bronze whatever the epoch's number: a batch that is
+        # replayed, also after the checkpoint was reset, finds its files there.
+        raw = store.stage(batch, f"stream-{spec.name}")
+        whole = raw.where(F.col(CORRUPT).isNull())
+        try:
+            if store.exists("bronze", spec.name):
+                done = store.read("bronze", spec.name, bronze_schema(spec)).select("_batch_id").distinct()
+                whole = whole.join(done, whole["_source_path"] == done["_batch_id"], "left_anti")
+            frame = bronze_frame(whole, spec, F.col("_source_path"))
+            bronze = store.stage(frame, f"stream-bronze-{spec.name}")
+            store.append("bronze", spec.name, bronze, partition_by=spec.partition_by)
+            rejected = raw.where(F.col(CORRUPT).isNotNull())
+            if not rejected.isEmpty():
+                store.append("control", REJECTS, rejects(rejected, spec, F.col("_source_path")))
+            # silver takes what is in bronze and newer than its mark, as the batch form
+            silver_load(spark, store, spec, collapse, null_safe)
+        finally:
+            store.drop_staged()
     return write
 
 
 def start_table_stream(spark: SparkSession, store: TableStore, spec: TableSpec,
                        landing_dir: str, checkpoint_root: str | None = None,
                        collapse: str = "first", null_safe: bool = True,
-                       available_now: bool = True,
+                       available_now: bool = True, multi_line: bool = True,
                        processing_time: str = "1 minute") -> StreamingQuery:
     """Start the stream of one table; its landing folder is
     ``<landing_dir>/<table>/`` (any number of CSV files).  ``store`` must not
     be shared with another running stream."""
     root = (checkpoint_root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-streams")
-    writer = _batch_writer(store, spec, collapse, null_safe, spec.name)
-    w = (_source(spark, spec, f"{landing_dir.rstrip('/')}/{spec.name}").writeStream
+    writer = _batch_writer(spark, store, spec, collapse, null_safe)
+    w = (_source(spark, spec, f"{landing_dir.rstrip('/')}/{spec.name}", multi_line).writeStream
          .queryName(f"landing_{spec.name}")
          .option("checkpointLocation", f"{root}/{spec.name}")
          .foreachBatch(writer))

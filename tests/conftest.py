@@ -23,3 +23,10 @@ def spark():
 def scratch():
     """A fresh scratch folder per test (never reused, never cleared)."""
     return tempfile.mkdtemp(prefix="strata-test-", dir="/tmp")
+
+
+@pytest.fixture(autouse=True)
+def _default_broadcast_limit(request):
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.unset("spark.sql.autoBroadcastJoinThreshold")

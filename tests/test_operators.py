@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import first_by_key, latest_by_key
-from strata.operators.merge import merge_upsert
+from strata.operators.merge import merge_upsert, require_unique
 from strata.operators.quality import apply_quality, apply_quality_raw
 from strata.operators.ranking import global_rank
 from strata.operators.watermark import lookback, slice_since
@@ -22,38 +22,56 @@ def _rows(df, *cols):
     return sorted((tuple(r) for r in df.select(*(cols or df.columns)).collect()), key=str)
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
-def test_merge_conditional_outcomes(spark, strategy):
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_merge_conditional_outcomes(spark, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     target = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2"), (None, "n", "hn")], SCHEMA)
     source = spark.createDataFrame([(1, "a2", "h1"), (2, "b2", "hX"), (3, "c", "h3"),
                                     (None, "n2", "hm")], SCHEMA)
     # '=': NULL key never matches -> inserted again; unchanged hash keeps target
-    plain = _rows(merge_upsert(target, source, ["k"], hash_col="h", null_safe=False,
-                               strategy=strategy))
+    plain = _rows(merge_upsert(target, source, ["k"], hash_col="h", null_safe=False))
     assert plain == sorted([(1, "a", "h1"), (2, "b2", "hX"), (3, "c", "h3"),
                             (None, "n", "hn"), (None, "n2", "hm")], key=str)
-    safe = merge_upsert(target, source, ["k"], hash_col="h", null_safe=True, strategy=strategy)
+    safe = merge_upsert(target, source, ["k"], hash_col="h", null_safe=True)
     assert _rows(safe) == sorted(
         [(1, "a", "h1"), (2, "b2", "hX"), (3, "c", "h3"), (None, "n2", "hm")], key=str)
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
-def test_merge_unconditional_replaces(spark, strategy):
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_merge_unconditional_replaces(spark, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     target = spark.createDataFrame([(1, "a", "h1"), (2, "b", "h2"), (None, "n", "hn")], SCHEMA)
     source = spark.createDataFrame([(1, "a2", "h1"), (None, "m", "hm")], SCHEMA)
-    assert _rows(merge_upsert(target, source, ["k"], strategy=strategy)) == sorted(
+    assert _rows(merge_upsert(target, source, ["k"])) == sorted(
         [(1, "a2", "h1"), (2, "b", "h2"), (None, "m", "hm")], key=str)
-    assert _rows(merge_upsert(target, source, ["k"], null_safe=False, strategy=strategy)) == sorted(
+    assert _rows(merge_upsert(target, source, ["k"], null_safe=False)) == sorted(
         [(1, "a2", "h1"), (2, "b", "h2"), (None, "n", "hn"), (None, "m", "hm")], key=str)
 
 
-def test_broadcast_merge_does_not_shuffle_target(spark):
-    target = spark.range(1000).selectExpr("cast(id as int) as k", "cast(id as string) as v",
-                                          "cast(id as string) as h")
-    source = spark.range(1).selectExpr("1 as k", "'x' as v", "'y' as h")
-    plan = merge_upsert(target, source, ["k"], hash_col="h")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_small_source_does_not_shuffle_the_target_rows(spark, scratch):
+    spark.range(1000).selectExpr("cast(id as int) as k", "cast(id as string) as v",
+                                 "cast(id as string) as h").write.parquet(f"{scratch}/t")
+    spark.range(1).selectExpr("1 as k", "'x' as v", "'y' as h").write.parquet(f"{scratch}/s")
+    plan = merge_upsert(spark.read.parquet(f"{scratch}/t"), spark.read.parquet(f"{scratch}/s"), ["k"],
+                        hash_col="h")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_merge_of_repeated_keys(spark, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    twice = spark.createDataFrame([(1, "s1", "a"), (1, "s2", "b")], SCHEMA)
+    with pytest.raises(ValueError, match="2 rows"):
+        require_unique(twice, ["k"])
+    nulls = spark.createDataFrame([(None, "s1", "a"), (None, "s2", "b")], SCHEMA)
+    require_unique(nulls, ["k"], null_safe=False)
+    with pytest.raises(ValueError):
+        require_unique(nulls, ["k"])
+    target = spark.createDataFrame([(1, "t1", "a"), (1, "t2", "b"), (None, "n", "n")], SCHEMA)
+    source = spark.createDataFrame([(1, "s", "a")], SCHEMA)
+    # each repeated target row is compared by itself
+    assert _rows(merge_upsert(target, source, ["k"], hash_col="h")) == sorted(
+        [(1, "t1", "a"), (1, "s", "a"), (None, "n", "n")], key=str)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -64,8 +82,7 @@ def test_merge_properties(spark, t_rows, s_rows):
                       ["k"], ["v"])
     s = latest_by_key(spark.createDataFrame([(k, v, v) for k, v in s_rows] or [], SCHEMA),
                       ["k"], ["v"])
-    once = merge_upsert(t, s, ["k"], hash_col="h", strategy="shuffle")
-    assert _rows(merge_upsert(t, s, ["k"], hash_col="h", strategy="broadcast")) == _rows(once)
+    once = merge_upsert(t, s, ["k"], hash_col="h")
     twice = merge_upsert(once, s, ["k"], hash_col="h")
     assert _rows(once) == _rows(twice)                        # idempotent
     assert _rows(merge_upsert(t, t, ["k"], hash_col="h")) == _rows(t)   # no-op on itself
@@ -116,6 +133,31 @@ def test_global_rank_matches_sql_rank(spark):
     assert ours == ref
 
 
+def test_ranks_do_not_depend_on_exchange_reuse(spark):
+    from strata.operators.ranking import dense_rank_values
+    df = spark.range(60_000).selectExpr("cast(pmod(xxhash64(id), 40000) as double) as x")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = dense_rank_values(df, "x", "r", ranges=16).agg(F.max("r"), F.countDistinct("r"), F.count("*")).first()
+        n = df.distinct().count()
+        assert tuple(got) == (n, n, n)
+        top = global_rank(df, "x", "r", buckets=16).agg(F.min("r"), F.countDistinct("r"), F.count("*")).first()
+        assert tuple(top) == (1, n, 60_000)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+@pytest.mark.parametrize("text,type_name,want", [
+    ("2020-01-05", "date", dt.date(2020, 1, 5)), ("2020", "date", None), ("2020-01", "date", None),
+    ("1d", "integer", None), ("1f", "double", None), ("1.5", "double", 1.5), ("3.7", "integer", 4),
+    (" 5 ", "integer", 5)])
+def test_only_whole_dates_and_plain_numbers_are_cast(spark, text, type_name, want):
+    from strata.functions.casts import typed_cast
+    from pyspark.sql.types import StringType
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(typed_cast("t", type_name, StringType())).first()[0] == want
+
+
 def test_delta_store_is_gated(spark, scratch):
     import pytest
     from strata.sources.store import TableStore, delta_available
@@ -136,19 +178,6 @@ def test_snapshot_store_versions(spark, scratch):
     assert _rows(store.read("silver", "t", version=1)) == [(1, "a")]
 
 
-def test_broadcast_limits_follow_session_conf(spark):
-    from strata.operators.joins import sized_broadcast
-    small = spark.range(10)
-    assert "ResolvedHint" in small.transform(sized_broadcast)._jdf.queryExecution().analyzed().toString() \
-        or "broadcast" in small.transform(sized_broadcast)._jdf.queryExecution().analyzed().toString().lower()
-    spark.conf.set("strata.broadcast.maxBytes", "-1")
-    try:
-        plan = sized_broadcast(small)._jdf.queryExecution().analyzed().toString().lower()
-        assert "broadcast" not in plan
-    finally:
-        spark.conf.unset("strata.broadcast.maxBytes")
-
-
 def test_vacuum_keeps_newest(spark, scratch):
     from strata.sources.store import TableStore
     store = TableStore(spark, f"{scratch}/lake")

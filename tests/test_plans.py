@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from strata.operators.watermark import slice_since
+from strata.plans.catalog import QUERIES
 from strata.plans.pipeline import bronze_schema
 from strata.registry import load_registry
 from strata.sources.store import TableStore
@@ -16,7 +17,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udfs(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
@@ -24,10 +25,21 @@ def test_no_python_udfs(spark, name):
         assert node not in plan, f"{name} runs Python: {node}"
 
 
-def test_fact_broadcasts_dimensions_and_pushes_scans(spark):
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_round_robin(spark, name):
+    assert "RoundRobin" not in _plan(E.queries()[name](spark, SF_SMALL))
+
+
+def test_fact_shuffles_no_dimension_attribute_with_the_lines(spark):
     plan = _plan(E.queries()["fact_sales"](spark, SF_SMALL))
-    assert plan.count("BroadcastHashJoin") >= 4
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in plan or "l_orderkey" in plan
+    lines = plan.index("l_orderkey")
+    winner = [m for m in ("first_name", "store_name") if m in plan[lines:].split("l_orderkey")[0]]
+    assert not winner
+
+
+def test_monthly_kpis_read_no_dimension_attribute(spark):
+    plan = _plan(E.queries()["agg_sla"](spark, SF_SMALL))
+    assert "s_name" not in plan and "r_name" not in plan
 
 
 def test_rank_has_no_global_window(spark):

@@ -18,7 +18,6 @@ SF_SKEW = "/root/testdata/sf0.1"
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "strata.broadcast.maxBytes": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
