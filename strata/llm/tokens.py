@@ -16,7 +16,9 @@ import numpy as np
 
 # The characters that the tokenizers' \\s matches (White_Space).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-MAX_PIECES = 500_000
+MAX_PIECES = 400_000
+# Encoding is what costs, so the encoded parts of pieces are kept in greater number.
+MAX_PARTS = 1_200_000
 MAX_PIECE_CHARS = 64
 
 # Byte-level BPE: a run of non-spaces takes one space before it along; of a run
@@ -71,7 +73,7 @@ class Encoder:
     def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
         parts = {p: LETTER_THEN_MARK.split(p) for p in pieces}
         fine = self.fine
-        if len(fine) > MAX_PIECES:
+        if len(fine) > MAX_PARTS:
             fine.clear()
         new = list({x for xs in parts.values() for x in xs if x not in fine})
         fine.update(zip(new, self._encode_pieces(new)))
