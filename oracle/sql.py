@@ -131,26 +131,29 @@ FACT_COLS = ["order_id", "order_date", "product_id", "date_key", "customer_key",
 
 
 def fact_sql(last_date: str = MIN_DATE) -> str:
+    """By definition: a head per order with everything that depends on the order
+    alone (each name looked up in its dimension), then the lines under their heads.
+    An order of an unknown customer or day has no head."""
+    def lookup(value: str, table: str, key: str) -> str:
+        return f"(SELECT max({value}) FROM {table} AS x WHERE {key})"
+
+    head = f"""
+    SELECT o.order_id, o.order_date, {lookup('x.date_key', 'g_dim_date', 'x.full_date = o.order_date')} AS date_key,
+           CAST(o.customer_id AS VARCHAR) AS customer_key,
+           {lookup("x.first_name || ' ' || x.last_name", 'g_dim_customer', 'x.customer_key = o.customer_id')} AS customer_name,
+           {lookup('CAST(x.store_key AS VARCHAR)', 'g_dim_store', 'x.store_key = o.store_id')} AS store_key,
+           {lookup('x.store_name', 'g_dim_store', 'x.store_key = o.store_id')} AS store_name,
+           {lookup('x.staff_key', 'g_dim_staff', 'x.staff_key = o.staff_id')} AS staff_key,
+           {lookup("x.first_name || ' ' || x.last_name", 'g_dim_staff', 'x.staff_key = o.staff_id')} AS staff_name,
+           {ORDERS_DERIVED}
+    FROM m_orders AS o
+    WHERE o.order_date >= {last_date} - INTERVAL 7 DAY
+      AND o.customer_id IN (SELECT customer_key FROM g_dim_customer)
+      AND o.order_date IN (SELECT full_date FROM g_dim_date)"""
     return f"""
-  SELECT oi.order_id, o.order_date, oi.product_id, d.date_key,
-         CAST(c.customer_key AS VARCHAR) AS customer_key,
-         c.first_name || ' ' || c.last_name AS customer_name,
-         CAST(s.store_key AS VARCHAR) AS store_key, s.store_name,
-         stf.staff_key, stf.first_name || ' ' || stf.last_name AS staff_name,
-         oi.quantity, oi.list_price AS unit_price,
-         oi.quantity * oi.list_price AS total_item_amount,
-         oi.discount,
-         oi.quantity * oi.list_price AS gross_amount,
-         oi.quantity * oi.list_price * (1 - oi.discount) AS net_amount,
-         {ORDERS_DERIVED}
-  FROM m_order_items oi
-  JOIN m_orders o ON oi.order_id = o.order_id
-  LEFT JOIN g_dim_date d ON o.order_date = d.full_date
-  LEFT JOIN g_dim_customer c ON o.customer_id = c.customer_key
-  LEFT JOIN g_dim_store s ON o.store_id = s.store_key
-  LEFT JOIN g_dim_staff stf ON o.staff_id = stf.staff_key
-  WHERE d.date_key IS NOT NULL AND c.customer_key IS NOT NULL
-    AND o.order_date >= {last_date} - INTERVAL 7 DAY"""
+  SELECT * EXCLUDE (item_id, list_price), list_price AS unit_price, quantity * list_price AS total_item_amount,
+         quantity * list_price AS gross_amount, quantity * list_price * (1 - discount) AS net_amount
+  FROM ({head}) AS head JOIN m_order_items USING (order_id)"""
 
 
 _GOLD_DEPS = ["m_order_items", "m_orders", "g_dim_date", "g_dim_customer", "g_dim_store",
@@ -207,15 +210,20 @@ ORDER BY total_revenue DESC""", "g_fact", "g_dim_product"),
 
 
 # ---------------------------------------------------------- row operators --
+# Plain letter -> its accented forms, and the spellings of "no value".
+ACCENTS = {"A": "ÁÀÂÃÄÅ", "a": "áàâãäå", "E": "ÉÈÊË", "e": "éèêë", "I": "ÍÌÎÏ", "i": "íìîï", "O": "ÓÒÔÕÖ",
+           "o": "óòôõö", "U": "ÚÙÛÜ", "u": "úùûü", "C": "Ç", "c": "ç", "N": "Ñ", "n": "ñ"}
+NO_VALUE = ["", "na", "n/a", "null", "-"]
+
+
 def clean_sql(x: str, collapse: str = "first") -> str:
-    """Text cleaning chain in DuckDB: null tokens, '' -> NULL, accents,
-    whitespace (first run, or every run with the 'g' flag), trim, lower."""
-    base = f"TRY_CAST({x} AS VARCHAR)"
-    flag = ", 'g'" if collapse == "all" else ""
-    return (f"lower(trim(regexp_replace(translate(NULLIF(CASE WHEN lower(trim({base})) IN "
-            f"('', 'na', 'n/a', 'null', '-') THEN NULL ELSE {base} END, ''), "
-            f"'ÁÀÂÃÄÅáàâãäåÉÈÊËéèêëÍÌÎÏíìîïÓÒÔÕÖóòôõöÚÙÛÜúùûüÇçÑñ', "
-            f"'AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuCcNn'), '\\s+', ' '{flag})))")
+    """Cleaned text by definition: no value, or each accented letter plain, white
+    space (first run or all) one space, trimmed, lower case."""
+    plain = f"CAST({x} AS VARCHAR)"
+    for letter, accented in ACCENTS.items():
+        plain = f"regexp_replace({plain}, '[{accented}]', '{letter}', 'g')"
+    runs = f"regexp_replace({plain}, '\\s+', ' '{', ' + chr(39) + 'g' + chr(39) if collapse == 'all' else ''})"
+    return f"CASE WHEN NOT list_contains({NO_VALUE}, trim(lower(CAST({x} AS VARCHAR)))) THEN lower(trim({runs})) END"
 
 
 def row_hash_sql(cols: list[str], prefix: str = "") -> str:
@@ -270,6 +278,27 @@ _ITEMS_TYPED = ("TRY_CAST(order_id AS INTEGER) AS order_id, TRY_CAST(item_id AS
                 "TRY_CAST(list_price AS DOUBLE) AS list_price, TRY_CAST(discount AS DOUBLE) AS discount")
 _ITEMS_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ITEM_COLS)
 
+
+
+def silver_sql(mark: str, extra: str) -> str:
+    return f"""
+WITH raw AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS item_id,
+         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_quantity AS VARCHAR) AS quantity,
+         CAST(l_extendedprice AS VARCHAR) AS list_price, CAST(l_discount AS VARCHAR) AS discount,
+         CAST(l_shipdate AS TIMESTAMP) AS _ingestion_timestamp
+  FROM lineitem),
+typed AS (SELECT {_ITEMS_TYPED}, _ingestion_timestamp FROM raw WHERE _ingestion_timestamp > {mark}),
+latest AS ({latest_per_key("typed", ["order_id", "item_id", "product_id"],
+                           ["_ingestion_timestamp", "quantity", "list_price", "discount"],
+                           [*ITEM_COLS, "_ingestion_timestamp"])})
+SELECT *, {extra}CAST(year(_ingestion_timestamp) AS INTEGER) AS year,
+       CAST(month(_ingestion_timestamp) AS INTEGER) AS month
+FROM latest
+WHERE quantity > 0 AND list_price >= 0 AND discount BETWEEN 0 AND 1
+  AND order_id IS NOT NULL AND item_id IS NOT NULL AND product_id IS NOT NULL"""
+
+
 ORACLE.update({
     "dq_filter": with_ctes(f"SELECT * FROM m_order_items WHERE {_DQ_ITEMS}", "m_order_items"),
     "dq_filter_raw": with_ctes(f"""
@@ -280,7 +309,7 @@ WHERE TRY_CAST(CAST(quantity AS VARCHAR) AS INTEGER) > 0
   AND order_id IS NOT NULL AND item_id IS NOT NULL AND product_id IS NOT NULL""", "m_order_items"),
     "raw_row_hash": """
 SELECT c_custkey, md5(concat_ws('|', CAST(c_custkey AS VARCHAR), c_name,
-       CAST(c_nationkey AS VARCHAR), c_mktsegment)) AS _row_hash
+       CAST(c_nationkey AS VARCHAR), CAST(c_acctbal AS VARCHAR), c_mktsegment)) AS _row_hash
 FROM customer""",
     "silver_row_hash": with_ctes(
         f"SELECT {', '.join(ORDER_KEYS)}, {row_hash_sql(ORDER_COLS)} AS row_hash FROM m_orders",
@@ -293,7 +322,7 @@ SELECT TRY_CAST(CAST(event_id AS VARCHAR) AS INTEGER) AS event_id,
        TRY_CAST(CAST(user_id AS VARCHAR) AS INTEGER) AS user_id,
        {clean_sql('event_type')} AS event_type,
        TRY_CAST(CAST(value AS VARCHAR) AS INTEGER) AS value,
-       {clean_sql('props')} AS props
+       {clean_sql('props')} AS props, ts
 FROM events""",
     "typed_order_items": with_ctes(
         f"SELECT {_ITEMS_TYPED} FROM (SELECT {_ITEMS_TEXT} FROM m_order_items) r", "m_order_items"),
@@ -329,23 +358,22 @@ WHERE m.last_watermark IS NULL OR e.ts > m.last_watermark""",
 SELECT *, quantity * list_price AS gross_amount,
        quantity * list_price * (1 - discount) AS net_amount
 FROM m_order_items""", "m_order_items"),
-    "silver_transform": f"""
-WITH raw AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS item_id,
-         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_quantity AS VARCHAR) AS quantity,
-         CAST(l_extendedprice AS VARCHAR) AS list_price, CAST(l_discount AS VARCHAR) AS discount,
-         CAST(l_shipdate AS TIMESTAMP) AS _ingestion_timestamp
-  FROM lineitem),
-typed AS (SELECT {_ITEMS_TYPED}, _ingestion_timestamp FROM raw
-          WHERE _ingestion_timestamp > TIMESTAMP '1900-01-01'),
-latest AS ({latest_per_key("typed", ["order_id", "item_id", "product_id"],
-                           ["_ingestion_timestamp", "quantity", "list_price", "discount"],
-                           [*ITEM_COLS, "_ingestion_timestamp"])})
-SELECT *, CAST(year(_ingestion_timestamp) AS INTEGER) AS year,
-       CAST(month(_ingestion_timestamp) AS INTEGER) AS month
-FROM latest
-WHERE quantity > 0 AND list_price >= 0 AND discount BETWEEN 0 AND 1
-  AND order_id IS NOT NULL AND item_id IS NOT NULL AND product_id IS NOT NULL""",
+    "silver_transform": silver_sql("TIMESTAMP '1900-01-01'", ""),
+    "silver_incremental": silver_sql("TIMESTAMP '1998-06-01'", row_hash_sql(ITEM_COLS) + " AS row_hash, "),
+    "clean_null_tokens": f"""
+SELECT doc_id, {clean_sql('t')} AS clean_text
+FROM (SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN ' N/A ' WHEN 2 THEN 'na' WHEN 3 THEN 'NULL'
+             WHEN 4 THEN '-' ELSE text END AS t FROM documents)""",
+    "rank_with_ties": """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, RANK() OVER (ORDER BY l_quantity DESC) AS quantity_rank
+FROM lineitem""",
+    "gold_changed_orders": with_ctes("""
+SELECT * FROM m_orders
+WHERE coalesce(shipped_date, order_date) > DATE '2001-01-01' OR shipped_date IS NULL
+   OR order_date >= DATE '2001-06-01' - INTERVAL 7 DAY
+   OR order_id IN (SELECT l_orderkey FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-01-01')
+   OR customer_id IN (SELECT c_custkey FROM customer WHERE DATE '1997-01-01' + CAST(c_custkey AS INTEGER) > DATE '2001-01-01')""",
+                                     "m_orders"),
     "dim_date_lookback": with_ctes(
         "SELECT * FROM g_dim_date WHERE full_date > " + LAST_PROCESSED + " - INTERVAL 7 DAY",
         "g_dim_date"),

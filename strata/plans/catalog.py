@@ -18,11 +18,13 @@ from strata.functions import dates
 from strata.functions.hashing import raw_row_hash, row_hash
 from strata.functions.text import clean_text as clean_text_col
 from strata.operators import kpis
+from strata.operators.changes import changed_orders
 from strata.operators.dedup import latest_by_key
 from strata.operators.derived import with_derived
 from strata.operators.merge import merge_upsert
-from strata.operators.projection import typed_projection, with_calendar_split
+from strata.operators.projection import INGESTION_TS, typed_projection, with_calendar_split
 from strata.operators.quality import apply_quality, apply_quality_raw
+from strata.operators.ranking import global_rank
 from strata.operators.watermark import slice_since, watermarks_per_table
 from strata.plans import gold as gold_plan
 from strata.plans import silver as silver_plan
@@ -39,6 +41,11 @@ RELOAD_DAYS = 90
 EVENTS_CUTOFF = dt.datetime(2024, 1, 15)
 # Last processed date for the look-back scenarios.
 LAST_PROCESSED = dt.date(2001, 6, 1)
+# Watermarks of the incremental silver and changed-order scenarios.
+SILVER_MARK = dt.datetime(1998, 6, 1, tzinfo=dt.timezone.utc)
+CHANGES_SINCE = dt.datetime(2001, 1, 1, tzinfo=dt.timezone.utc)
+CHANGES_LAST = LAST_PROCESSED
+NULL_SPELLINGS = ["", " N/A ", "na", "NULL", "-"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,8 +108,7 @@ def dq_filter_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_row_hash_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = tpch.table(spark, sf_dir, "customer")
-    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
-    return c.select("c_custkey", raw_row_hash(cols).alias("_row_hash"))
+    return c.select("c_custkey", raw_row_hash(c.columns).alias("_row_hash"))
 
 
 def silver_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +129,7 @@ def clean_text_all_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENTS_SPEC = TableSpec(
     name="events",
     columns={"event_id": "integer", "user_id": "integer", "event_type": "varchar",
-             "value": "integer", "props": "varchar"},
+             "value": "integer", "props": "varchar", "ts": "timestamp"},
     primary_key=["event_id"])
 
 
@@ -240,12 +246,10 @@ def dim_date_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_plan.build_dimensions(silver, last_date=LAST_PROCESSED)["dim_date"]
 
 
-def silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped order_items (text, ingestion time = ship time, real
-    duplicate keys) -> silver rows: slice, latest per key, typed, hashed,
-    quality-filtered."""
+def _bronze_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped order_items: text, ingestion time = ship time, real duplicate keys."""
     li = tpch.table(spark, sf_dir, "lineitem")
-    raw = li.select(
+    return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("string").alias("item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
@@ -253,10 +257,52 @@ def silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("string").alias("list_price"),
         F.col("l_discount").cast("string").alias("discount"),
         F.col("l_shipdate").cast("timestamp").alias("_ingestion_timestamp"))
-    out = silver_plan.silver_dataset(raw, REG.spec("order_items"), watermark=None)
+
+
+def silver_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze order_items -> silver rows: latest per key, typed, hashed,
+    quality-filtered."""
+    out = silver_plan.silver_dataset(_bronze_items(spark, sf_dir), REG.spec("order_items"), watermark=None)
     return out.drop("row_hash")
 
 
+def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a watermark on, with the row hash."""
+    return silver_plan.silver_dataset(_bronze_items(spark, sf_dir), REG.spec("order_items"),
+                                      watermark=SILVER_MARK)
+
+
+def clean_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text, five in eight replaced by a spelling of "no value"."""
+    d = tpch.table(spark, sf_dir, "documents")
+    text = F.when(F.col("doc_id") % 8 < len(NULL_SPELLINGS), F.try_element_at(
+        F.array(*[F.lit(t) for t in NULL_SPELLINGS]), (F.col("doc_id") % 8 + 1).cast("int"))).otherwise(F.col("text"))
+    return d.withColumn("t", text).select("doc_id", clean_text_col("t").alias("clean_text"))
+
+
+def rank_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order lines by quantity: fifty values, each shared by many lines."""
+    li = tpch.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return global_rank(li, "l_quantity", "quantity_rank")
+
+
+def gold_changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders to rebuild when orders arrived at their ship (else order) date, items at
+    theirs, and customers day by day."""
+    orders = tpch.orders(spark, sf_dir)
+    early = F.lit("1990-01-01").cast("timestamp")
+    silver = {
+        "orders": orders.withColumn(INGESTION_TS, F.coalesce("shipped_date", "order_date").cast("timestamp")),
+        "order_items": tpch.table(spark, sf_dir, "lineitem").select(
+            F.col("l_orderkey").cast("int").alias("order_id"), F.col("l_shipdate").cast("timestamp").alias(INGESTION_TS)),
+        "customers": tpch.customers(spark, sf_dir).withColumn(
+            INGESTION_TS, F.date_add(F.lit("1997-01-01").cast("date"), F.col("customer_id")).cast("timestamp")),
+        "stores": tpch.stores(spark, sf_dir).withColumn(INGESTION_TS, early),
+        "staffs": tpch.staffs(spark, sf_dir).withColumn(INGESTION_TS, early),
+    }
+    return changed_orders(silver, CHANGES_SINCE, CHANGES_LAST).drop(INGESTION_TS)
+
+
 QUERIES: dict[str, Query] = {
     "dq_filter": dq_filter,
     "dq_filter_raw": dq_filter_raw,
@@ -278,6 +324,10 @@ QUERIES: dict[str, Query] = {
     "orders_derived": orders_derived,
     "items_derived": items_derived,
     "silver_transform": silver_transform,
+    "silver_incremental": silver_incremental,
+    "clean_null_tokens": clean_null_tokens,
+    "rank_with_ties": rank_with_ties,
+    "gold_changed_orders": gold_changed_orders,
     "dim_date_lookback": dim_date_lookback,
     "fact_lookback": fact_lookback,
     "dim_date": _dim("dim_date"),

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import gold as gold_plan
+from strata.plans.catalog import QUERIES
 from strata.sources import tpch
 from tests.conftest import SF_SMALL
 
@@ -35,3 +36,10 @@ def test_kpis_reconcile_with_fact(gold):
     assert t[2] == pytest.approx(1.0, rel=1e-12) and t[3] == 1
     rows = sorted(top.select("total_revenue", "revenue_rank").collect(), key=lambda r: -r[0])
     assert all(a["revenue_rank"] <= b["revenue_rank"] for a, b in zip(rows, rows[1:]))
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("agg_")))
+def test_kpis_come_in_order(spark, name):
+    rows = QUERIES[name](spark, SF_SMALL).collect()
+    key = [-r["total_revenue"] if name == "agg_top_products" else r["year_month"] for r in rows]
+    assert key == sorted(key) and len(rows) > 10

@@ -30,18 +30,6 @@ def test_no_round_robin(spark, name):
     assert "RoundRobin" not in _plan(E.queries()[name](spark, SF_SMALL))
 
 
-def test_fact_shuffles_no_dimension_attribute_with_the_lines(spark):
-    plan = _plan(E.queries()["fact_sales"](spark, SF_SMALL))
-    lines = plan.index("l_orderkey")
-    winner = [m for m in ("first_name", "store_name") if m in plan[lines:].split("l_orderkey")[0]]
-    assert not winner
-
-
-def test_monthly_kpis_read_no_dimension_attribute(spark):
-    plan = _plan(E.queries()["agg_sla"](spark, SF_SMALL))
-    assert "s_name" not in plan and "r_name" not in plan
-
-
 def test_rank_has_no_global_window(spark):
     plan = _plan(E.queries()["agg_top_products"](spark, SF_SMALL))
     assert "rank(" not in plan.lower().replace("revenue_rank", "")

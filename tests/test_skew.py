@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.plans import gold as gold_plan
 from strata.sources import tpch
 # AQE splits a skewed partition along map outputs, so the hot partition must
-# come from several map tasks: sf0.1's line items are spread over the cores.
+# come from several map tasks.
 SF_SKEW = "/root/testdata/sf0.1"
 
 SKEW_CONF = {
@@ -29,7 +29,8 @@ def _skewed_gold(spark):
     silver = dict(tpch.model_tables(spark, SF_SKEW))
     items = silver["order_items"]
     hot = F.col("item_id") % 3 == 0          # every third line moves to order 0
-    silver["order_items"] = items.withColumn(
+    # the file is one row group; a large table is read by many tasks
+    silver["order_items"] = items.repartition(8).withColumn(
         "order_id", F.when(hot, F.lit(0)).otherwise(F.col("order_id")))
     return gold_plan.build_gold(silver, as_of=dt.date(2002, 1, 1))["fact_sales"]
 
