@@ -21,7 +21,7 @@ passes over the documents.  Documents are never shuffled.
 
 Defined results: null and empty texts and items match nothing, nor do items of
 fewer than ``MIN_WORDS`` words (too short to be evidence); items of equal words are
-all reported; repeated rows each report; further columns are ignored or passed
+all reported, a repeated benchmark row once; repeated rows each report; further columns are ignored or passed
 through.
 """
 
@@ -246,7 +246,7 @@ def item_blocks(benchmark: DataFrame, item_id_col: str, item_text_col: str,
                 block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[tuple[int, str | None], ...]]:
     """The benchmark in blocks of about ``block_bytes`` of text, one at a time."""
     items = benchmark.select(F.col(item_id_col).alias("i"), F.col(item_text_col).alias("t")) \
-        .filter("t is not null")
+        .filter("t is not null").distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = int(total // block_bytes) + 1
     for k in range(n):

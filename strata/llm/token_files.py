@@ -1,8 +1,8 @@
 """Token ids as flat binary files with 64-bit document offsets.
 
-The corpus is dealt by ranges of the document id (ties by a hash of the text, so
-that a repeated id does not land in one task), sorted inside each range and encoded
-there.  Every task writes one shard:
+The corpus is dealt by ranges of the document id (ties by a hash of the text and the
+row's number, so that a repeated id or row does not land in one task), sorted inside
+each range and encoded there.  Every task writes one shard:
 
 * ``ids-<n>.bin``: the ids, flat, as little-endian unsigned integers of the least
   width (16 or 32 bits) that holds the tokenizer's vocabulary;
@@ -17,7 +17,7 @@ files into memory (files of a store that cannot be mapped are read as streams).
 The folder may lie in any store that ``pyarrow.fs`` reaches and must be shared.
 
 Defined results: a null text is the empty text; null ids come first; rows of equal
-id come in the order of their text's hash and then text; further columns are ignored.
+id come in the order of their text's hash; further columns are ignored.
 An empty table makes an empty manifest.
 """
 
@@ -89,9 +89,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, *, kind
         yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [len(names)], "ids": [ends[-1]], "width": [width]})
 
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")) \
-        .withColumn("h", F.xxhash64("t"))
+        .withColumns({"h": F.xxhash64("t"), "salt": F.monotonically_increasing_id()})
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = slim.repartitionByRange(shards, "id", "h").sortWithinPartitions("id", "h", "t").select("id", "t")
+    dealt = slim.repartitionByRange(shards, "id", "h", "salt").sortWithinPartitions("id", "h", "salt").select("id", "t")
     # One row per task comes back.
     rows = sorted(dealt.mapInArrow(written, "shard long, docs long, ids long, width long").collect())
     base = 0

@@ -15,7 +15,7 @@ from array import array
 import numpy as np
 
 # The characters that the tokenizers' \\s matches (White_Space).
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # for a character class
 MAX_PIECES = 400_000
 # Encoding is what costs, so the encoded parts of pieces are kept in greater number.
 MAX_PARTS = 1_200_000
