@@ -39,6 +39,8 @@ SILVER_MARKS = "silver_watermark"
 GOLD_MARKS = "gold_watermark"
 GOLD_CHANGES = "gold_changes"
 REJECTS = "rejected_rows"
+# Silver tables are partitioned by the month of ingestion.
+SILVER_PARTITIONS = ["year", "month"]
 # Silver tables the gold layer reads.
 GOLD_INPUTS = ["orders", "order_items", "customers", "staffs", "stores", "products",
                "categories", "brands"]
@@ -140,7 +142,7 @@ def silver_load(spark: SparkSession, store: TableStore, spec: TableSpec,
     if n == 0:
         return 0
     store.upsert("silver", spec.name, incoming, spec.primary_key, hash_col="row_hash",
-                 null_safe=null_safe)
+                 null_safe=null_safe, partition_by=SILVER_PARTITIONS)
     # the mark advances over every row read, accepted or not
     add_mark(spark, store, SILVER_MARKS, spec.name, newest)
     return n

@@ -136,6 +136,10 @@ def test_second_silver_run_without_new_bronze_does_nothing(spark, scratch):
         .write.mode("overwrite").option("header", True).csv(f"{landing}/brands.csv")
     assert run(spark, cfg, layers=("bronze", "silver"))["silver"] == {"brands": 1}
     assert len(store.versions("silver", "brands")) <= 2
+    silver = store.read("silver", "brands")
+    plan = silver.where("year = 2001")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert len(silver.inputFiles()) == 1  # small partitions are written as one file
     with pytest.raises(ValueError):
         store.append("silver", "brands", store.read("silver", "brands"))
 
