@@ -205,7 +205,7 @@ def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, i
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"),
                        F.col(source_col).alias("src"), F.col(length_col).alias("n")) \
         .join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    return rows.select("id", "y", "l", "src", "n", digest("t").alias("d")).orderBy("id").collect()
+    return rows.select("id", "y", "l", "src", "n", digest("t").alias("d")).collect()
 
 
 def train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS,
