@@ -135,8 +135,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, kind: str = "word", end_id: in
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 for doc_id, data in zip(part.column(0).to_pylist(), encode.ids(part.column(1).to_pylist())):
                     data += end
                     total = len(data) // 4

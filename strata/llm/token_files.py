@@ -70,8 +70,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, *, kind
         ends: list[int] = [0]
         sink = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 if sink is None:
                     sink = store.open_output_stream(f"{mine}.bin")
                 for doc_id, ids in zip(part.column(0).to_pylist(), encode.ids(part.column(1).to_pylist())):

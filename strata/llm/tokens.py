@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 
@@ -54,8 +55,8 @@ class Encoder:
         """As ``_encode``, for texts without special strings: one of these stands
         between the pieces, where the library parts them and leaves its id."""
         out: list[bytes] = []
-        for at in range(0, len(pieces), 256):
-            some = pieces[at:at + 256]
+        for at in range(0, len(pieces), 1024):
+            some = pieces[at:at + 1024]
             ids = self._encode([self.special[0].join(some)])[0]
             here = 0
             for cut in np.flatnonzero(np.frombuffer(ids, "<u4") == self.mark).tolist():
@@ -66,18 +67,19 @@ class Encoder:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
-        for at in range(0, len(texts), 64):
-            out += self._block([t or "" for t in texts[at:at + 64]])
+        for at in range(0, len(texts), 256):
+            out += self._block([t or "" for t in texts[at:at + 256]])
         return out
 
     def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
-        parts = {p: LETTER_THEN_MARK.split(p) for p in pieces}
         fine = self.fine
         if len(fine) > MAX_PARTS:
             fine.clear()
-        new = list({x for xs in parts.values() for x in xs if x not in fine})
+        cut = LETTER_THEN_MARK.split
+        parts = [(p, cut(p)) for p in pieces]
+        new = list({x for _, xs in parts for x in xs}.difference(fine))
         fine.update(zip(new, self._encode_pieces(new)))
-        out = {p: b"".join([fine[x] for x in xs]) for p, xs in parts.items()}
+        out = {p: fine[p] if len(xs) == 1 else b"".join([fine[x] for x in xs]) for p, xs in parts}
         for x in new:
             if len(x) > MAX_PIECE_CHARS:
                 del fine[x]
@@ -90,13 +92,12 @@ class Encoder:
         known = self.known
         if len(known) > MAX_PIECES:
             known.clear()
-        fresh = self._fresh({p for ps in cut for p in ps if p not in known})
-        known.update((p, b) for p, b in fresh.items() if len(p) <= MAX_PIECE_CHARS)
-        if any(len(p) > MAX_PIECE_CHARS for p in fresh):
-            get = lambda p: known[p] if p in known else fresh[p]
-        else:
-            get = known.__getitem__
-        done = [b"".join(map(get, ps)) for ps in cut]
+        fresh = self._fresh(set(chain.from_iterable(cut)).difference(known))
+        known.update(fresh)
+        done = [b"".join(map(known.__getitem__, ps)) for ps in cut]
+        for p in fresh:
+            if len(p) > MAX_PIECE_CHARS:
+                del known[p]
         for i, w in enumerate(whole):
             if w:
                 done[i] = self._encode([texts[i]])[0]
