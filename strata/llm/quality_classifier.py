@@ -13,8 +13,13 @@ Only the fit is bounded: ``FIT_ROWS`` labelled and ``POOL_ROWS`` unlabelled
 documents, drawn by the hash of their id; everything else sees all rows.
 
 A document is good if its label says quality 1 and toxic 0.  It is kept if its
-combined score reaches the cutoff: 1/2, or less where a higher one would reject
-more than ``MAX_FALSE_REJECTION`` of the held-out good documents.
+combined score reaches the cutoff.  All labelled documents whose labels fitted
+neither view are scored and counted by score, exactly per bin of 1/``BINS``.  The
+cutoff is the median of 1/2, the highest bin that rejects at most
+``MAX_FALSE_REJECTION`` of their good documents and the lowest that keeps at most
+``MAX_KEPT_TOXIC`` of their toxic ones: 1/2 if that meets both bounds, else the
+nearest that does, and if none does it goes from 1/2 towards the broken bound only
+as far as the other one is met.
 
 Defined results: a null text is the empty text; null or unseen metadata is a level
 of its own; repeated labels count once, by their worst values, and labels with
@@ -27,12 +32,16 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.llm.common import stage
 
 FIT_ROWS = 6000
 POOL_ROWS = 2000
@@ -43,6 +52,8 @@ TELLING_Z = 4.5
 SURE = 0.98
 MIN_CLASS = 10
 MAX_FALSE_REJECTION = 0.002
+MAX_KEPT_TOXIC = 0.01
+BINS = 10_000
 
 _MARKS = b"#*$%&|<>!"
 _TO_SPACE = bytes(x if x >= 128 or chr(x).isalnum() else 32 for x in range(256))
@@ -150,9 +161,13 @@ class CoTrained:
 
     def score(self, texts, langs, sources, lengths) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probability "good" of the text view, the metadata view, both."""
-        a = self.text.logit(self.text_rows(texts))[:, None]
-        m = np.array([meta_row(*r) for r in zip(langs, sources, lengths)]).reshape(len(a), 83)
-        b = self.meta.logit(m)[:, None]
+        x = self.text_rows(texts)
+        m = np.array([meta_row(*r) for r in zip(langs, sources, lengths)]).reshape(len(x), 83)
+        return self.score_views(x, m)
+
+    def score_views(self, x: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``score`` of the rows of the text view and of the metadata view."""
+        a, b = self.text.logit(x)[:, None], self.meta.logit(m)[:, None]
         return (_sigmoid(self.calibrated_text.logit(a)), _sigmoid(self.calibrated_meta.logit(b)),
                 _sigmoid(self.combined.logit(np.hstack([a, b]))))
 
@@ -184,18 +199,23 @@ def _telling(words: list[np.ndarray], y: np.ndarray, limit: int) -> np.ndarray:
     return np.sort(ids[use[np.lexsort((ids[use], -np.abs(z[use])))][:limit]])
 
 
+def _known(labels: DataFrame, id_col: str) -> DataFrame:
+    """(id, q, x) once per labelled document, by its worst values."""
+    return labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")) \
+        .agg(F.min("quality").alias("q"), F.max("toxic").alias("x")).filter("q is not null and x is not null")
+
+
 def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, id_col: str, text_col: str,
             lang_col: str, source_col: str, length_col: str) -> list:
     """The bounded training rows, with hashed words and shape in place of the text."""
-    known = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")) \
-        .agg(F.min("quality").alias("q"), F.max("toxic").alias("x")).filter("q is not null and x is not null")
+    known = _known(labels, id_col)
     order = F.xxhash64("id", F.lit("fit"))
     ids = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))
     fit = known.join(ids, "id", "left_semi").orderBy(order, "id").limit(fit_rows) \
-        .select("id", ((F.col("q") == 1) & (F.col("x") == 0)).cast("int").alias("y"))
+        .select("id", ((F.col("q") == 1) & (F.col("x") == 0)).cast("int").alias("y"), "q", "x")
     pool = ids.join(known, "id", "left_anti").distinct().orderBy(order, "id").limit(pool_rows) \
         .select("id", F.lit(-1).alias("y"))
-    chosen = fit.unionByName(pool)  # at most fit_rows + pool_rows pairs of numbers
+    chosen = fit.unionByName(pool, allowMissingColumns=True)  # at most fit_rows + pool_rows pairs of numbers
 
     @F.udf("struct<w: binary, s: array<double>>")
     def digest(text):
@@ -205,12 +225,95 @@ def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, i
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"),
                        F.col(source_col).alias("src"), F.col(length_col).alias("n")) \
         .join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-    return rows.select("id", "y", "l", "src", "n", digest("t").alias("d")).collect()
-
-
-def train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS,
-          rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source", length_col: str = "n_chars") -> CoTrained | None:
+    return rows.select("id", "y", "q", "x", "l", "src", "n", digest("t").alias("d")).collect()
+
+
+def digests(docs: DataFrame, labels: DataFrame, fitted: list, telling: np.ndarray, *, id_col: str, text_col: str,
+            lang_col: str, source_col: str, length_col: str) -> DataFrame:
+    """One row per document, staged: id, what both views need of it (the telling words
+    as bits ``w``, the shape ``s``, the metadata's levels ``ml``, ``ms`` and length
+    ``mn``), its label ``q``, ``x`` (null if none) and whether its id is in ``fitted``."""
+    id_type = docs.schema[id_col].dataType
+    schema = T.StructType([T.StructField("id", id_type)]) \
+        .add("w", "binary").add("s", T.ArrayType(T.DoubleType())).add("ml", "integer").add("ms", "integer").add("mn", "double")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, shapes = [], []
+            for text in batch.column(1).to_pylist():
+                words, shape = words_and_shape(text)
+                w.append(np.packbits(np.isin(telling, word_features(words), assume_unique=True)).tobytes())
+                shapes.append(shape)
+            meta = [meta_row(*r) for r in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
+            levels = np.array(meta).reshape(len(meta), 83)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(w, pa.binary()), pa.array(shapes, pa.list_(pa.float64())),
+                 pa.array(levels[:, :17].argmax(axis=1), pa.int32()),
+                 pa.array(levels[:, 17:82].argmax(axis=1) + 17, pa.int32()), pa.array(levels[:, 82], pa.float64())],
+                ["id", "w", "s", "ml", "ms", "mn"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"),
+                       F.col(source_col).cast("string").alias("src"), F.col(length_col).cast("double").alias("n")) \
+        .mapInArrow(digest, schema)
+    sample = docs.sparkSession.createDataFrame([(i,) for i in fitted], T.StructType([T.StructField("id", id_type)]))
+    known = _known(labels, id_col).join(F.broadcast(sample.withColumn("fitted", F.lit(True))), "id", "left")
+    return stage(rows.join(known, "id", "left"), "digests")
+
+
+def views_of(batch: pa.RecordBatch, telling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text view's and the metadata view's rows of a batch of digests."""
+    n = batch.num_rows
+    bits = np.frombuffer(b"".join(batch.column("w").to_pylist()), dtype=np.uint8).reshape(n, -(-len(telling) // 8))
+    shape = batch.column("s").flatten().to_numpy(zero_copy_only=False).reshape(n, SHAPES)
+    text = np.hstack([shape, np.unpackbits(bits, axis=1, count=len(telling)).astype(float)])
+    meta = np.zeros((n, 83))
+    for k in ("ml", "ms"):
+        meta[np.arange(n), batch.column(k).to_numpy()] = 1.0
+    meta[:, 82] = batch.column("mn").to_numpy()
+    return text, meta
+
+
+def _bins(scores: np.ndarray) -> np.ndarray:
+    return np.floor(scores * BINS).astype(np.int64)
+
+
+def _cutoff(good: np.ndarray, toxic: np.ndarray) -> float:
+    """The cutoff for the numbers of good and of toxic documents per score bin."""
+    below = np.concatenate(([0], np.cumsum(good)))  # rejected by a cutoff at each bin
+    above = toxic.sum() - np.concatenate(([0], np.cumsum(toxic)))
+    high = np.flatnonzero(below <= MAX_FALSE_REJECTION * good.sum())[-1]
+    low = np.flatnonzero(above <= MAX_KEPT_TOXIC * toxic.sum())[0] if toxic.sum() else 0
+    return sorted((BINS // 2, int(high), int(low)))[1] / BINS
+
+
+def learn_cutoff(model: CoTrained, table: DataFrame, held: list[tuple[float, int, int]]) -> float:
+    """The cutoff over ``held`` (score, quality, toxic) and all labelled digests that
+    are not in the sample.  The driver gets one number per score bin and class."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("x"), pa.array(_bins(model.score_views(*views_of(part, model.telling))[2]))], ["x", "bin"])
+
+    rest = table.filter("fitted is null and (x = 0 and q = 1 or x = 1)").withColumn("x", F.col("x").cast("int"))
+    counts = np.zeros((2, BINS + 1), dtype=np.int64)
+    for r in rest.mapInArrow(of, "x int, bin long").groupBy("x", "bin").count().collect():
+        counts[r["x"], r["bin"]] += r["count"]
+    for score, quality, toxic in held:
+        if toxic == 1 or toxic == 0 and quality == 1:
+            counts[int(toxic), int(_bins(np.array(score)))] += 1
+    return _cutoff(counts[0], counts[1])
+
+
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", **settings) -> CoTrained | None:
+    return _train(docs, labels, id_col=id_col, **settings)[0]
+
+
+def _train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS,
+           rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+           source_col: str = "source", length_col: str = "n_chars") -> tuple[CoTrained | None, DataFrame | None]:
+    """The model and the digests of all documents."""
     rows = _sample(docs, labels, fit_rows, pool_rows, id_col, text_col, lang_col, source_col, length_col)
     rows.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"]))
     known = [r for r in rows if r["y"] >= 0]
@@ -218,9 +321,11 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_
     pool = [r for r in rows if r["y"] < 0]
     y_own, y_held = (np.array([r["y"] for r in part], dtype=np.int64) for part in (own, held))
     if min(y_own.sum(), (1 - y_own).sum()) < MIN_CLASS or min(y_held.sum(), (1 - y_held).sum()) < MIN_CLASS // 3:
-        return None
+        return None, None
     features = lambda r: np.frombuffer(bytes(r["d"]["w"]), dtype=np.uint32)
     model = CoTrained(_telling([features(r) for r in own], y_own, TELLING_WORDS))
+    table = digests(docs, labels, [r["id"] for r in known], model.telling, id_col=id_col, text_col=text_col,
+                    lang_col=lang_col, source_col=source_col, length_col=length_col)
 
     def text_of(part) -> np.ndarray:
         return np.array([_text_row(features(r), r["d"]["s"], model.telling) for r in part]) \
@@ -247,9 +352,9 @@ def train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_
     a, b = (f.logit(v[1])[:, None] for f, v in zip(fitted, views))
     model.calibrated_text, model.calibrated_meta = Ridge.fit(a, y_held), Ridge.fit(b, y_held)
     model.combined = Ridge.fit(np.hstack([a, b]), y_held)
-    good = np.sort(_sigmoid(model.combined.logit(np.hstack([a, b])))[y_held == 1])
-    model.cutoff = float(min(0.5, good[int(MAX_FALSE_REJECTION * len(good))]))
-    return model
+    score = _sigmoid(model.combined.logit(np.hstack([a, b]))).tolist()
+    model.cutoff = learn_cutoff(model, table, [(s, r["q"], r["x"]) for s, r in zip(score, held)])
+    return model, table
 
 
 def scored(docs: DataFrame, model: CoTrained | None, name: str, *, text_col: str = "text", lang_col: str = "lang",
@@ -279,9 +384,22 @@ def scored(docs: DataFrame, model: CoTrained | None, name: str, *, text_col: str
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", **settings) -> DataFrame:
     """One row per document: id, text_score, meta_score, score, keep."""
-    model = train(docs, labels, id_col=id_col, **settings)
-    columns = {k: v for k, v in settings.items() if k.endswith("_col")}
-    return scored(docs, model, "_scored", **columns).select(id_col, "_scored.*")
+    model, table = _train(docs, labels, id_col=id_col, **settings)
+    if model is None:
+        return scored(docs, None, "_scored").select(id_col, "_scored.*")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                t, m, s = model.score_views(*views_of(part, model.telling))
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(t), pa.array(m), pa.array(s),
+                                                  pa.array(s >= model.cutoff)],
+                                                 [id_col, "text_score", "meta_score", "score", "keep"])
+
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType)]) \
+        .add("text_score", "double").add("meta_score", "double").add("score", "double").add("keep", "boolean")
+    return table.mapInArrow(of, schema)
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:

@@ -1,5 +1,6 @@
 """Co-training: held-out accuracy, exchange of labels, odd rows."""
 
+import numpy as np
 import pytest
 
 from strata.llm import quality_classifier as Q
@@ -52,3 +53,31 @@ def test_too_few_labels_keep_everything(small):
     scored = Q.quality_scores(docs, labels.filter("quality = 1 and toxic = 0"))
     assert scored.filter("keep and score is null").count() == docs.count()
     assert Q.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_cutoff_is_bounded_on_all_labelled_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model, table = Q._train(docs, labels, fit_rows=300)
+    rest = table.filter("fitted is null and x is not null")
+    n = rest.filter("x = 0 and q = 1").count()
+    scores = Q.quality_scores(docs, labels, fit_rows=300).join(
+        rest.select(table.id.alias("doc_id"), "q", "x"), "doc_id").filter("x = 0 and q = 1")
+    assert n > 2500 and scores.count() == n
+    # The bounds hold over all labelled documents, not over a few of the sample.
+    lost = scores.filter("not keep").count()
+    assert model.cutoff >= 0.5 or lost <= Q.MAX_FALSE_REJECTION * (n + 300)
+
+
+def test_cutoff_weighs_good_against_toxic():
+    good, toxic = np.zeros(Q.BINS + 1, int), np.zeros(Q.BINS + 1, int)
+    good[9000], toxic[100] = 1000, 100
+    assert Q._cutoff(good, toxic) == 0.5
+    good[50] = 3  # odd good documents cannot pull it below the toxic ones
+    assert Q._cutoff(good, toxic) == 0.0101
+    good[50], good[3000] = 0, 50
+    assert Q._cutoff(good, toxic) == 0.3
+    toxic[6000] = 20  # at a half too many toxic ones stay, and good ones have room
+    good[3000] = 0
+    assert Q._cutoff(good, toxic) == 0.6001
+    assert Q._cutoff(good, toxic * 0) == 0.5
