@@ -3,14 +3,17 @@
 View one is the text: shape figures and the presence of telling words (hashed
 words whose frequency differs most between good and bad labelled documents).
 View two is the page's metadata: language, source and recorded length.  Each view
-gets a ridge logistic regression.  Over some rounds each view labels the pool
-documents it is sure of, as measured on held-out labels, for the *other* view's
-training set (Blum & Mitchell: the pool is a bounded random set of unlabelled
-documents).  Both views are then calibrated on the held-out labels, combined, and
-every document is scored in one pass over its whole text.
-
-Only the fit is bounded: ``FIT_ROWS`` labelled and ``POOL_ROWS`` unlabelled
-documents, drawn by the hash of their id; everything else sees all rows.
+gets a ridge logistic regression.  Over some rounds each view scores all unlabelled
+documents and labels every one it is sure of, as measured on held-out labels, for the
+*other* view's training set (Blum & Mitchell; a document keeps the first label that a
+view is given).  The Newton steps of a refit take the sums of gradient and Hessian
+over all these documents from Spark; the documents labelled by a view count less
+where there are many, so that together they weigh at most as much as the labelled
+ones.  Both views are then calibrated on the held-out labels and combined.
+
+Only the labelled rows of the fit are bounded: ``FIT_ROWS`` documents, drawn by the
+hash of their id; everything else sees all rows.  Each text is read once for its
+digest (what both views need of it), which all rounds and scores use.
 
 A document is good if its label says quality 1 and toxic 0.  It is kept if its
 combined score reaches the cutoff.  All labelled documents whose labels fitted
@@ -44,12 +47,16 @@ from pyspark.sql import types as T
 from strata.llm.common import stage
 
 FIT_ROWS = 6000
-POOL_ROWS = 2000
 ROUNDS = 3
 TELLING_WORDS = 256
 # Of the many words of a sample some differ by chance; fewer than one reaches this.
 TELLING_Z = 4.5
 SURE = 0.98
+# Newton steps of a refit end when no weight moves by so much (the error left is of
+# the order of its square).
+STEP_ENDS = 0.01
+MAX_STEPS = 12
+PENALTY = 0.1
 MIN_CLASS = 10
 MAX_FALSE_REJECTION = 0.002
 MAX_KEPT_TOXIC = 0.01
@@ -110,21 +117,29 @@ class Ridge:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 25) -> Ridge:
+    def fit(cls, x: np.ndarray, y: np.ndarray, steps: int = 25) -> Ridge:
         mean, scale = x.mean(axis=0), x.std(axis=0)
         scale[scale < 1e-9] = 1.0
-        z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
-        w = np.zeros(z.shape[1])
-        ridge = np.full(z.shape[1], penalty)
-        ridge[-1] = 1e-6
+        model = cls(mean, scale, np.zeros(x.shape[1] + 1))
         for _ in range(steps):
-            p = _sigmoid(z @ w)
-            step = np.linalg.solve((z.T * np.maximum(p * (1 - p), 1e-6)) @ z + np.diag(ridge),
-                                   z.T @ (y - p) - ridge * w)
-            w += step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
-            if np.abs(step).max() < 1e-6:
+            model, moved = model.stepped(model.sums(x, y))
+            if moved < 1e-6:
                 break
-        return cls(mean, scale, w)
+        return model
+
+    def sums(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Gradient (first row) and Hessian of the log-likelihood of some rows."""
+        z = np.hstack([(x - self.mean) / self.scale, np.ones((len(x), 1))])
+        p = _sigmoid(z @ self.weights)
+        return np.vstack([z.T @ (y - p), (z.T * np.maximum(p * (1 - p), 1e-6)) @ z])
+
+    def stepped(self, sums: np.ndarray) -> tuple[Ridge, float]:
+        """The model after a Newton step with the sums of all rows, and how far it went."""
+        ridge = np.full(len(self.weights), PENALTY)
+        ridge[-1] = 1e-6
+        step = np.linalg.solve(sums[1:] + np.diag(ridge), sums[0] - ridge * self.weights)
+        moved = float(np.abs(step).max())
+        return Ridge(self.mean, self.scale, self.weights + step * min(1.0, 5.0 / max(1e-9, moved))), moved
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.mean) / self.scale) @ self.weights[:-1] + self.weights[-1]
@@ -172,17 +187,100 @@ class CoTrained:
                 _sigmoid(self.combined.logit(np.hstack([a, b]))))
 
 
-def _sure(p: np.ndarray, held: np.ndarray, y: np.ndarray, good: bool) -> np.ndarray:
-    """Pool rows that a view labels surely: above the loosest probability (a tenth
+def _sure(held: np.ndarray, y: np.ndarray, good: bool) -> float:
+    """From which probability of its side on a view labels surely: the loosest (a half
     of the held-out rows at most) at which its held-out labels are right."""
-    side, pool = (held, p) if good else (1 - held, 1 - p)
+    side = held if good else 1 - held
     right = (y == 1) if good else (y == 0)
     order = np.argsort(-side)
     hits = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
     allowed = np.flatnonzero((hits >= SURE) & (np.arange(len(order)) < len(order) / 2) & (side[order] > 0.5))
     if not len(allowed) or allowed[-1] < 4:
-        return np.zeros(0, dtype=np.int64)
-    return np.flatnonzero(pool >= side[order[allowed[-1]]])
+        return math.inf
+    return float(side[order[allowed[-1]]])
+
+
+@dataclass
+class Round:
+    """Both views at the begin of a round, and from which probability on each is sure
+    that a document is good and that it is bad."""
+
+    views: list[Ridge]
+    sure: list[tuple[float, float]]
+
+
+def given_labels(rows: tuple[np.ndarray, np.ndarray], rounds: list[Round]) -> list[np.ndarray]:
+    """For each view the labels that the other one gave some rows in the rounds so far:
+    the first that it was sure of, -1 for none."""
+    given = [np.full(len(rows[0]), -1), np.full(len(rows[0]), -1)]
+    for r in rounds:
+        for me, other in ((0, 1), (1, 0)):
+            p = _sigmoid(r.views[me].logit(rows[me]))
+            for side, least, label in ((p, r.sure[me][0], 1), (1 - p, r.sure[me][1], 0)):
+                given[other][(given[other] < 0) & (side >= least)] = label
+    return given
+
+
+def unlabelled_sums(table: DataFrame, telling: np.ndarray, views: list[Ridge], rounds: list[Round]) -> list:
+    """For each view: how many unlabelled digests have a label by now, and their sums."""
+    sizes = [len(v.weights) for v in views]
+
+    def add(total: list, part: list) -> None:
+        for t, p in zip(total, part):
+            t[0] += p[0]
+            t[1] += p[1]
+
+    def zero() -> list:
+        return [[0, np.zeros((n + 1, n))] for n in sizes]
+
+    def batch_of(total: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([0, 1], pa.int32()), pa.array([int(n) for n, _ in total], pa.int64()),
+             pa.array([m.tobytes() for _, m in total], pa.binary())], ["view", "n", "sums"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = zero()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                rows = views_of(batch.slice(at, 4096), telling)
+                given = given_labels(rows, rounds)
+                add(total, [(np.sum(g >= 0), v.sums(x[g >= 0], g[g >= 0])) for x, g, v in zip(rows, given, views)])
+        yield batch_of(total)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = zero()
+        for batch in batches:
+            for k, n, m in zip(*(batch.column(c).to_pylist() for c in ("view", "n", "sums"))):
+                total[k][0] += n
+                total[k][1] += np.frombuffer(m).reshape(total[k][1].shape)
+        yield batch_of(total)
+
+    kind = "view int, n long, sums binary"
+    parts = table.filter("q is null").mapInArrow(summed, kind)
+    total = zero()
+    for r in parts.repartition(8).mapInArrow(merged, kind).collect():  # one matrix per view and partition
+        total[r["view"]][0] += r["n"]
+        total[r["view"]][1] += np.frombuffer(bytes(r["sums"])).reshape(total[r["view"]][1].shape)
+    return total
+
+
+def refit(table: DataFrame, telling: np.ndarray, views: list[Ridge], rounds: list[Round],
+          own: list[np.ndarray], y: np.ndarray) -> tuple[list[Ridge], tuple[int, int]]:
+    """Both views fitted to the labelled rows ``own`` and to all unlabelled digests with
+    the labels of the rounds so far, and how many of these there are."""
+    active = [True, True]
+    for _ in range(MAX_STEPS):
+        found = unlabelled_sums(table, telling, views, rounds)
+        for k in (0, 1):
+            if active[k]:
+                n, sums = found[k]
+                views[k], moved = views[k].stepped(views[k].sums(own[k], y) + sums * min(1.0, len(y) / max(1, n)))
+                # Sums come in any order: without their last digits all runs are equal.
+                views[k].weights = np.round(views[k].weights, 8)
+                active[k] = moved >= STEP_ENDS
+        if not any(active):
+            break
+    return views, (found[0][0], found[1][0])
 
 
 def _telling(words: list[np.ndarray], y: np.ndarray, limit: int) -> np.ndarray:
@@ -205,17 +303,14 @@ def _known(labels: DataFrame, id_col: str) -> DataFrame:
         .agg(F.min("quality").alias("q"), F.max("toxic").alias("x")).filter("q is not null and x is not null")
 
 
-def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, pool_rows: int, id_col: str, text_col: str,
+def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int, id_col: str, text_col: str,
             lang_col: str, source_col: str, length_col: str) -> list:
-    """The bounded training rows, with hashed words and shape in place of the text."""
+    """The bounded labelled rows, with hashed words and shape in place of the text."""
     known = _known(labels, id_col)
     order = F.xxhash64("id", F.lit("fit"))
     ids = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"))
-    fit = known.join(ids, "id", "left_semi").orderBy(order, "id").limit(fit_rows) \
-        .select("id", ((F.col("q") == 1) & (F.col("x") == 0)).cast("int").alias("y"), "q", "x")
-    pool = ids.join(known, "id", "left_anti").distinct().orderBy(order, "id").limit(pool_rows) \
-        .select("id", F.lit(-1).alias("y"))
-    chosen = fit.unionByName(pool, allowMissingColumns=True)  # at most fit_rows + pool_rows pairs of numbers
+    chosen = known.join(ids, "id", "left_semi").orderBy(order, "id").limit(fit_rows) \
+        .select("id", ((F.col("q") == 1) & (F.col("x") == 0)).cast("int").alias("y"), "q", "x")  # pairs of numbers
 
     @F.udf("struct<w: binary, s: array<double>>")
     def digest(text):
@@ -310,21 +405,20 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", **setti
     return _train(docs, labels, id_col=id_col, **settings)[0]
 
 
-def _train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_rows: int = POOL_ROWS,
+def _train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool_rows: int | None = None,
            rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            source_col: str = "source", length_col: str = "n_chars") -> tuple[CoTrained | None, DataFrame | None]:
-    """The model and the digests of all documents."""
-    rows = _sample(docs, labels, fit_rows, pool_rows, id_col, text_col, lang_col, source_col, length_col)
+    """The model and the digests of all documents.  Co-training takes all unlabelled
+    documents, or if a caller names ``pool_rows`` so many of them."""
+    rows = _sample(docs, labels, fit_rows, id_col, text_col, lang_col, source_col, length_col)
     rows.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"]))
-    known = [r for r in rows if r["y"] >= 0]
-    held, own = known[::3], [r for i, r in enumerate(known) if i % 3]
-    pool = [r for r in rows if r["y"] < 0]
+    held, own = rows[::3], [r for i, r in enumerate(rows) if i % 3]
     y_own, y_held = (np.array([r["y"] for r in part], dtype=np.int64) for part in (own, held))
     if min(y_own.sum(), (1 - y_own).sum()) < MIN_CLASS or min(y_held.sum(), (1 - y_held).sum()) < MIN_CLASS // 3:
         return None, None
     features = lambda r: np.frombuffer(bytes(r["d"]["w"]), dtype=np.uint32)
     model = CoTrained(_telling([features(r) for r in own], y_own, TELLING_WORDS))
-    table = digests(docs, labels, [r["id"] for r in known], model.telling, id_col=id_col, text_col=text_col,
+    table = digests(docs, labels, [r["id"] for r in rows], model.telling, id_col=id_col, text_col=text_col,
                     lang_col=lang_col, source_col=source_col, length_col=length_col)
 
     def text_of(part) -> np.ndarray:
@@ -334,20 +428,18 @@ def _train(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, pool
     def meta_of(part) -> np.ndarray:
         return np.array([meta_row(r["l"], r["src"], r["n"]) for r in part]).reshape(len(part), 83)
 
-    views = [(text_of(own), text_of(held), text_of(pool)), (meta_of(own), meta_of(held), meta_of(pool))]
-    given: list[dict[int, int]] = [{}, {}]  # pool row -> pseudo-label, for each view
-    fitted: list[Ridge] = []
-    for turn in range(rounds + 1):
-        fitted = [Ridge.fit(np.vstack([x, z[list(g)]]), np.concatenate([y_own, np.array(list(g.values()), dtype=np.int64)]))
-                  for (x, _, z), g in zip(views, given)]
-        if turn == rounds or not pool:
-            break
-        for me, other in ((0, 1), (1, 0)):
-            p, h = _sigmoid(fitted[me].logit(views[me][2])), _sigmoid(fitted[me].logit(views[me][1]))
-            for good in (True, False):
-                for i in _sure(p, h, y_held, good).tolist():
-                    given[other].setdefault(i, int(good))
-        model.traded.append((len(given[0]), len(given[1])))
+    views = [(text_of(own), text_of(held)), (meta_of(own), meta_of(held))]
+    pool = table.filter("q is null")
+    if pool_rows is not None:
+        some = pool.filter("id is not null").select("id").distinct().orderBy(F.xxhash64("id", F.lit("fit")), "id")
+        pool = pool.join(F.broadcast(some.limit(pool_rows)), "id", "left_semi")
+    fitted = [Ridge.fit(x, y_own) for x, _ in views]
+    turns: list[Round] = []
+    for _ in range(rounds):
+        at_held = [_sigmoid(f.logit(h)) for f, (_, h) in zip(fitted, views)]
+        turns.append(Round(list(fitted), [(_sure(p, y_held, True), _sure(p, y_held, False)) for p in at_held]))
+        fitted, traded = refit(pool, model.telling, fitted, turns, [x for x, _ in views], y_own)
+        model.traded.append(traded)
     model.text, model.meta = fitted
     a, b = (f.logit(v[1])[:, None] for f, v in zip(fitted, views))
     model.calibrated_text, model.calibrated_meta = Ridge.fit(a, y_held), Ridge.fit(b, y_held)

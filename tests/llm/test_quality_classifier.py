@@ -81,3 +81,20 @@ def test_cutoff_weighs_good_against_toxic():
     good[3000] = 0
     assert Q._cutoff(good, toxic) == 0.6001
     assert Q._cutoff(good, toxic * 0) == 0.5
+
+
+def test_every_unlabelled_document_takes_part(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model, table = Q._train(docs, labels, rounds=1)
+    pool = table.filter("q is null")
+    # More documents get a label than the fixed pool of 2,000 ever held.
+    assert 2000 < model.traded[-1][1] <= pool.count()
+    # The sums that Spark takes are those of all rows at once.
+    sure = [Q.Round([model.text, model.meta], [(0.9, 0.9), (0.8, 0.9)])]
+    found = Q.unlabelled_sums(pool, model.telling, [model.text, model.meta], sure)
+    rows = Q.views_of(pool.toArrow().combine_chunks().to_batches()[0], model.telling)
+    for x, view, given, (n, sums) in zip(rows, [model.text, model.meta], Q.given_labels(rows, sure), found):
+        assert n == (given >= 0).sum()
+        assert np.allclose(sums, view.sums(x[given >= 0], given[given >= 0]), rtol=1e-6, atol=1e-6)
+    assert found[1][0] > 0
