@@ -281,9 +281,10 @@ def star_components(links: DataFrame) -> DataFrame:
             return state.select(F.col("a").alias("v"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: id, ``fp`` (long), ``component_id``."""
+def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+               words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """(id, ``fp``) per document, and per fingerprint (``fp``, ``first_id``, ``root``,
+    ``component_id``): its smallest id and its component's root and smallest id."""
     prints = stage(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
                                     "text", "fp", words).select("id", "fp"), "fingerprints")
     # Equal fingerprints are one vertex, whatever number of documents share it.
@@ -291,30 +292,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = stage(near_links(vertices, bits), "links")
     root: Column = F.coalesce(F.col("root"), F.col("fp"))
     if links.isEmpty():
-        classes = vertices.select("fp", F.col("first_id").alias("component_id"))
+        classes = vertices.select("fp", "first_id", F.col("fp").alias("root"), F.col("first_id").alias("component_id"))
     else:
         stars = star_components(links)
         placed = stage(vertices.join(stars, F.col("fp") == F.col("v"), "left")
                        .select("fp", "first_id", root.alias("root")), "placed")
         smallest = stage(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
-        classes = stage(placed.join(smallest, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+        classes = stage(placed.join(smallest, "root").select("fp", "first_id", "root", "component_id"), "classes")
+    return prints, classes
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **settings) -> DataFrame:
+    """One row per document: id, ``fp`` (long), ``component_id``."""
+    prints, classes = components(docs, id_col=id_col, **settings)
+    return prints.join(classes.select("fp", "component_id"), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
              bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it.
-
-    Where an id has rows with different texts, each row counts for itself; rows
-    equal in id and fingerprint are one document (so are rows without any id).
-    """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, bits=bits)
-    state = stage(found.select(F.col(id_col).alias("_id"), F.col("fp").alias("_fp"), "component_id"), "near-duplicates")
-    wins = F.col("_id").eqNullSafe(F.col("component_id"))
-    if state.groupBy("_id").count().filter("count > 1").isEmpty():
-        losers = state.filter(~wins).select("_id")
-        return docs.join(losers, F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
-    winners = state.filter(wins).select("_id", F.col("_fp").alias("_won")).distinct()
+    """``docs`` with one row of each component: of the smallest id (null only if there is
+    no other), then of the smallest fingerprint; any one of rows equal in both."""
+    prints, classes = components(docs, id_col=id_col, text_col=text_col, words=words, bits=bits)
+    if prints.groupBy("id").count().filter("count > 1").isEmpty():
+        state = prints.join(classes.select("fp", "component_id"), "fp")
+        losers = state.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"))
+        return docs.join(stage(losers, "losers"), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), "fp"))
+    winners = stage(classes.groupBy("root").agg(first.alias("w"))
+                    .select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_won")), "winners")
     printed = with_fingerprint(docs, text_col, "_fp", words)
     return printed.join(winners, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_won")),
                         "left_semi").dropDuplicates([id_col, "_fp"]).drop("_fp")

@@ -123,3 +123,30 @@ def test_empty_table_nulls_and_repeated_ids(spark):
     assert {r["component_id"] for r in got if r["doc_id"] == 3} == {3}
     kept = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in S.keep_one(docs).collect())
     assert kept == [(False, 3, "a b c"), (False, 4, "other text it is"), (False, 4, "x y z q"), (True, 0, "alone here")]
+
+
+def test_one_row_stays_of_near_copies_with_equal_or_no_ids(spark):
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(300)]
+
+    def copies(n):
+        """Texts with different fingerprints that are at most four bits apart."""
+        found = {}
+        base = [rng.choice(vocab) for _ in range(400)]
+        found[brute_fingerprint(" ".join(base))] = " ".join(base)
+        first = next(iter(found))
+        while len(found) < n:
+            copy = list(base)
+            copy[rng.randrange(400)] = rng.choice(vocab)
+            fp = brute_fingerprint(" ".join(copy))
+            if (fp ^ first).bit_count() <= 4:
+                found[fp] = " ".join(copy)
+        return list(found.values())
+
+    same_id, no_id, mixed = copies(3), copies(3), copies(2)
+    rows = [(8, t) for t in same_id] + [(None, t) for t in no_id] + [(None, mixed[0]), (9, mixed[1]), (9, mixed[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = S.keep_one(docs).collect()
+    signed = lambda t: (brute_fingerprint(t) + 2 ** 63) % 2 ** 64 - 2 ** 63
+    want = [(8, min(same_id, key=signed)), (None, min(no_id, key=signed)), (9, mixed[1])]
+    assert sorted(map(str, left)) == sorted(str(docs.sparkSession.createDataFrame([w], docs.schema).first()) for w in want)
