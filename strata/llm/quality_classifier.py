@@ -13,7 +13,8 @@ ones.  Both views are then calibrated on the held-out labels and combined.
 
 Only the labelled rows of the fit are bounded: ``FIT_ROWS`` documents, drawn by the
 hash of their id; everything else sees all rows.  Each text is read once for its
-digest (what both views need of it), which all rounds and scores use.
+digest (what both views need of it), which all rounds, the cutoff and
+``quality_scores`` use; ``filter_documents`` reads the texts again to pass them on.
 
 A document is good if its label says quality 1 and toxic 0.  It is kept if its
 combined score reaches the cutoff.  All labelled documents whose labels fitted
