@@ -110,7 +110,30 @@ SELECT conv_id, perspective, position, segment, CAST(start AS BIGINT) AS start,
        CASE WHEN own THEN CAST(start + length(segment) - 1 AS BIGINT) END AS mask_end
 FROM o"""
 
+_FILL_IN_MIDDLE = r"""WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, len(w) AS n,
+         CAST('0x' || s[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || s[9:16] AS BIGINT) % (n + 1) AS b,
+         CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4
+  FROM d),
+p AS (
+  SELECT *, array_to_string(w[1 : least(a, b)], '') AS prefix,
+         array_to_string(w[least(a, b) + 1 : greatest(a, b)], '') AS middle,
+         array_to_string(w[greatest(a, b) + 1 :], '') AS suffix,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
 ORACLE: dict[str, str] = {
+    "op11_fill_in_middle": _FILL_IN_MIDDLE,
     "op3_license_scan": _LICENSES,
     "op4_chat_formatting": _PERSPECTIVES,
     "op10_quality_rules": f"""WITH {_RULE_CTES}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     chat_formatting,
     decontamination,
+    fill_in_middle,
     license_scan,
     packing,
     quality_classifier,
@@ -84,6 +85,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's fill-in-middle form, and of the text rebuilt from it."""
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -95,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_golay": op8_simhash_golay,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
