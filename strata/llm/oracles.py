@@ -132,7 +132,27 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
        sha256(t) AS restored_sha256
 FROM p"""
 
+_JACCARD = r"""WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach AS (
+  SELECT doc_id AS v, doc_id AS r FROM d
+  UNION
+  SELECT b, r FROM reach JOIN links ON a = v)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v) USING (doc_id)"""
+
 ORACLE: dict[str, str] = {
+    "op12_ngram_jaccard": _JACCARD,
     "op11_fill_in_middle": _FILL_IN_MIDDLE,
     "op3_license_scan": _LICENSES,
     "op4_chat_formatting": _PERSPECTIVES,

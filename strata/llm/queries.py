@@ -12,6 +12,7 @@ from strata.llm import (
     decontamination,
     fill_in_middle,
     license_scan,
+    ngram_jaccard,
     packing,
     quality_classifier,
     quality_rules,
@@ -92,6 +93,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256"))
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and component of every document."""
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -104,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
 }
