@@ -151,7 +151,39 @@ reach AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v) USING (doc_id)"""
 
+# CRC-32 of a decimal id, bit by bit: its reversed polynomial is 3988292384.
+_TRIE = r"""WITH o AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS x
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, x, xor(list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda c: CAST(ord(c) AS BIGINT)),
+           lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda z, k: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384) ELSE z >> 1 END)), 4294967295) % 6 AS h
+  FROM o),
+b AS (
+  SELECT h.conv_id, coalesce(p.x[1 : h.h], []) || h.x[h.h + 1 :] AS x
+  FROM h LEFT JOIN o p ON p.conv_id = h.conv_id - h.conv_id % 100),
+m AS (
+  SELECT conv_id, d, x[1 : d] AS k, len(x) = d AS ends, CASE WHEN d > 0 THEN length(x[d].t) ELSE 0 END AS c
+  FROM (SELECT conv_id, x, unnest(range(0, len(x) + 1)) AS d FROM b)),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(c) AS c,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM m GROUP BY k, d),
+p AS (SELECT m.conv_id AS member, d, n.conv_id AS node FROM m JOIN n USING (k, d)),
+kids AS (SELECT p.node, p.d, count(*) AS c FROM n JOIN p ON p.member = n.conv_id AND p.d = n.d - 1 GROUP BY ALL),
+sub AS (
+  SELECT p.node, p.d, sum((n.n_convs - 1) * n.c) AS saved, count(*) FILTER (WHERE kids.c IS NULL) AS leaves
+  FROM n JOIN p ON p.member = n.conv_id AND p.d <= n.d LEFT JOIN kids ON kids.node = n.conv_id AND kids.d = n.d
+  GROUP BY p.node, p.d)
+SELECT n.conv_id, n.d AS depth, up.node AS parent_conv_id, n_convs, coalesce(kids.c, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM n LEFT JOIN p up ON up.member = n.conv_id AND up.d = n.d - 1 LEFT JOIN kids ON kids.node = n.conv_id AND kids.d = n.d
+JOIN sub ON sub.node = n.conv_id AND sub.d = n.d"""
+
 ORACLE: dict[str, str] = {
+    "op13_prefix_trie": _TRIE,
     "op12_ngram_jaccard": _JACCARD,
     "op11_fill_in_middle": _FILL_IN_MIDDLE,
     "op3_license_scan": _LICENSES,

@@ -14,6 +14,7 @@ from strata.llm import (
     license_scan,
     ngram_jaccard,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     sharding,
@@ -98,6 +99,11 @@ def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, rebuilt with shared heads."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_decontamination": op2_decontamination,
@@ -111,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op13_prefix_trie": op13_prefix_trie,
 }

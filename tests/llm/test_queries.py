@@ -20,7 +20,7 @@ def test_query_equals_oracle(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(E.queries())
 
 
