@@ -346,6 +346,17 @@ WHERE m.last_watermark IS NULL OR e.ts > m.last_watermark""",
             f"WHERE order_date >= {ORDERS_CUT} - INTERVAL 90 DAY)",
             ORDER_KEYS, [*ORDER_COLS, "row_hash"], "row_hash", True) + ") m",
         "m_orders", "m_orders_c"),
+    **{name: with_ctes(
+        "SELECT * FROM (" + merge_sql(
+            f"(SELECT *, {row_hash_sql(ORDER_COLS)} AS row_hash FROM m_orders_c)",
+            f"(SELECT *, {row_hash_sql(ORDER_COLS)} AS row_hash FROM m_orders "
+            f"WHERE order_date >= {ORDERS_CUT} - INTERVAL 90 DAY)",
+            keys, [*ORDER_COLS, "row_hash"], "row_hash", null_safe) + ") m",
+        "m_orders", "m_orders_c")
+       for name, keys, null_safe in (
+           ("merge_touched_partitions", ORDER_KEYS, True),
+           ("merge_null_keys_orders", [*ORDER_KEYS, "shipped_date"], False),
+           ("merge_null_safe_orders", [*ORDER_KEYS, "shipped_date"], True))},
     "merge_unconditional": "SELECT * FROM (" + merge_sql(
         "(" + latest_per_key(f"(SELECT {', '.join(_EV)} FROM events WHERE ts <= {EVENTS_CUT})",
                              ["user_id"], ["ts", "event_id", "event_type", "value"], _EV) + ")",
@@ -364,6 +375,11 @@ FROM m_order_items""", "m_order_items"),
 SELECT doc_id, {clean_sql('t')} AS clean_text
 FROM (SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN ' N/A ' WHEN 2 THEN 'na' WHEN 3 THEN 'NULL'
              WHEN 4 THEN '-' ELSE text END AS t FROM documents)""",
+    "clean_null_spellings": f"""
+SELECT doc_id, {clean_sql('text')} AS clean_text, count(*) FILTER (WHERE line IS NULL) AS null_lines
+FROM (SELECT doc_id, text, n, {clean_sql('l')} AS line
+      FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS l, row_number() OVER () AS n FROM documents))
+GROUP BY doc_id, text""",
     "rank_with_ties": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, RANK() OVER (ORDER BY l_quantity DESC) AS quantity_rank
 FROM lineitem""",

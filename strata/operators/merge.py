@@ -67,3 +67,19 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
         *[F.when(take, F.col(_S + c)).otherwise(F.col(c)).alias(c) for c in cols])
     new = s.join(target.select(*keys), on, "left_anti").select(*[F.col(_S + c).alias(c) for c in cols])
     return kept.unionByName(new)
+
+
+def effective_rows(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str | None,
+                   null_safe: bool, place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """What a merge does to ``target``, from its keys, hash and ``place`` columns alone:
+    (the source rows that are new or replace some row, the ``place`` values of the rows
+    they replace).  Merging only these rows into only those places gives the same table.
+    """
+    s = source.select(*[F.col(c).alias(_S + c) for c in dict.fromkeys([*keys, *([hash_col] if hash_col else [])])])
+    slim = target.select(*dict.fromkeys([*keys, *([hash_col] if hash_col else []), *place]))
+    changes = F.lit(True) if hash_col is None else F.coalesce(F.col(hash_col) != F.col(_S + hash_col), F.lit(False))
+    hits = slim.join(s, _key_condition(keys, null_safe)).withColumn(_HIT, changes)
+    per_key = hits.groupBy(*[_S + k for k in keys]).agg(F.max(_HIT).alias(_HIT))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(_S + k)) for k in keys])
+    rows = source.join(per_key, on, "left").where(F.coalesce(_HIT, F.lit(True))).select(*source.columns)
+    return rows, hits.where(_HIT).select(*place).distinct()

@@ -9,6 +9,7 @@ across engines whose summation order differs.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,9 @@ from strata.operators.watermark import slice_since, watermarks_per_table
 from strata.plans import gold as gold_plan
 from strata.plans import silver as silver_plan
 from strata.registry import TableSpec, load_registry
+from strata.session import ensure_checkpoint_dir
 from strata.sources import tpch
+from strata.sources.store import HIDDEN, TableStore
 
 # Fixed "today" for the open-order columns so results are reproducible.
 AS_OF = dt.date(2002, 1, 1)
@@ -199,6 +202,42 @@ def merge_conditional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(target, source, ORDER_KEYS, hash_col="row_hash")
 
 
+def _order_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(silver orders as of the cut-off, reload of the recent orders), hashed."""
+    return (_hashed_orders(tpch.orders(spark, sf_dir, as_of=ORDERS_CUTOFF)),
+            _hashed_orders(tpch.orders(spark, sf_dir).where(
+                F.col("order_date") >= F.date_sub(F.lit(ORDERS_CUTOFF), RELOAD_DAYS))))
+
+
+def merge_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the table store: orders partitioned by the month of their date,
+    the reload merged by rewriting the touched months alone."""
+    month = F.date_format("order_date", "yyyyMM").cast("int")
+    target, source = (df.withColumn(f"{HIDDEN}month", month) for df in _order_loads(spark, sf_dir))
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-merge-{uuid.uuid4().hex}")
+    store.write_snapshot("silver", "orders", target, [f"{HIDDEN}month"])
+    store.upsert("silver", "orders", store.stage(source, "reload"), ORDER_KEYS, hash_col="row_hash",
+                 partition_by=[f"{HIDDEN}month"])
+    out = store.read("silver", "orders")
+    store.drop_staged()
+    return out
+
+
+def _shipment_merge(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFrame:
+    """Orders keyed by (order, ship date): the ship date of an open order is NULL."""
+    target, source = _order_loads(spark, sf_dir)
+    return merge_upsert(target, source, [*ORDER_KEYS, "shipped_date"], hash_col="row_hash", null_safe=null_safe)
+
+
+def merge_null_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain '=': open orders match nothing and are inserted again."""
+    return _shipment_merge(spark, sf_dir, null_safe=False)
+
+
+def merge_null_safe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shipment_merge(spark, sf_dir, null_safe=True)
+
+
 def merge_unconditional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event per user from the first load, upserted with the latest
     per user from the second load (SCD type 1)."""
@@ -280,6 +319,15 @@ def clean_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("t", text).select("doc_id", clean_text_col("t").alias("clean_text"))
 
 
+def clean_null_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text cleaned, and whether it is a spelling of "no value";
+    so are its lines, which hold such spellings beside words."""
+    d = tpch.table(spark, sf_dir, "documents")
+    lines = F.transform(F.split("text", "\n"), lambda x: clean_text_col(x))
+    return d.select("doc_id", clean_text_col("text").alias("clean_text"),
+                    F.size(F.filter(lines, lambda x: x.isNull())).cast("long").alias("null_lines"))
+
+
 def rank_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All order lines by quantity: fifty values, each shared by many lines."""
     li = tpch.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
@@ -318,6 +366,9 @@ QUERIES: dict[str, Query] = {
     "incremental_slice": incremental_slice,
     "incremental_slice_literal": incremental_slice_literal,
     "merge_conditional": merge_conditional,
+    "merge_touched_partitions": merge_touched_partitions,
+    "merge_null_keys_orders": merge_null_keys_orders,
+    "merge_null_safe_orders": merge_null_safe_orders,
     "merge_unconditional": merge_unconditional,
     "merge_null_keys": merge_null_keys,
     "merge_null_safe": merge_null_safe,
@@ -326,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "silver_transform": silver_transform,
     "silver_incremental": silver_incremental,
     "clean_null_tokens": clean_null_tokens,
+    "clean_null_spellings": clean_null_spellings,
     "rank_with_ties": rank_with_ties,
     "gold_changed_orders": gold_changed_orders,
     "dim_date_lookback": dim_date_lookback,

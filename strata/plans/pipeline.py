@@ -31,7 +31,7 @@ from strata.plans import gold as gold_plan
 from strata.plans.silver import silver_dataset
 from strata.registry import INGESTION_DATE, Registry, TableSpec, load_registry
 from strata.sources.landing import CORRUPT, landing_path, read_landing
-from strata.sources.store import TableStore
+from strata.sources.store import HIDDEN, TableStore
 
 log = logging.getLogger(__name__)
 
@@ -41,6 +41,8 @@ GOLD_CHANGES = "gold_changes"
 REJECTS = "rejected_rows"
 # Silver tables are partitioned by the month of ingestion.
 SILVER_PARTITIONS = ["year", "month"]
+# The fact is partitioned by the month of its date, a column of the store's own.
+FACT_MONTH = f"{HIDDEN}month"
 # Silver tables the gold layer reads.
 GOLD_INPUTS = ["orders", "order_items", "customers", "staffs", "stores", "products",
                "categories", "brands"]
@@ -202,10 +204,10 @@ def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> di
     gold = {n: store.read("gold", n) for n in ("dim_date", "dim_customer", "dim_store",
                                                 "dim_staff")}
     fact = gold_plan.build_fact(silver, gold, cfg.registry, as_of=cfg.as_of)
-    staged = store.stage(fact, "gold-fact_sales")
+    staged = store.stage(fact.withColumn(FACT_MONTH, F.floor(F.col("date_key") / 100).cast("int")), "gold-fact_sales")
     out["fact_sales"] = n = staged.count()
     if n:
-        store.upsert("gold", "fact_sales", staged, gold_plan.GOLD_KEYS["fact_sales"])
+        store.upsert("gold", "fact_sales", staged, gold_plan.GOLD_KEYS["fact_sales"], partition_by=[FACT_MONTH])
         date = staged.agg(key_to_date(F.max("date_key"))).first()[0]
         set_gold_mark(spark, store, "fact_sales", date if last is None else max(last, date))
     if newest is not None:

@@ -7,6 +7,12 @@
   commit marker ``_SUCCESS`` is in it, and readers take the newest one.  A
   merge therefore reads version n and writes version n+1: a path is never
   overwritten while it is read, and a failed write leaves no visible trace.
+* a merge into a table written with ``partition_by`` rewrites only the
+  partitions it touches: those that hold a replaced row or receive a row.
+  The new version holds these alone, and its file ``_parts`` names, for every
+  live partition, the version that holds it.  A version begun that way counts
+  once ``_parts`` is there.  After ``MAX_LIVE`` versions the table is
+  rewritten whole, so a read unites few folders.
 * ``stage`` materialises an intermediate result as parquet in the cluster's
   shared checkpoint folder (``spark.checkpoint.dir``) to cut lineage.
 
@@ -19,17 +25,25 @@ rewrites only the files holding matched keys instead of the whole table.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.merge import merge_upsert, require_unique
+from strata.operators.merge import effective_rows, merge_upsert, require_unique
 from strata.session import ensure_checkpoint_dir
 
 LAYERS = ("bronze", "silver", "gold", "control")
 _VERSION = re.compile(r"^v(\d{8})$")
+# Versions that may hold partitions of one table before it is rewritten whole.
+MAX_LIVE = 8
+# Partition columns of this prefix belong to the store: ``read`` leaves them out.
+HIDDEN = "__p_"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Control tables that are only ever appended to.
 LOGS = frozenset({"silver_watermark", "gold_changes", "rejected_rows"})
 
@@ -106,8 +120,10 @@ class TableStore:
         out = []
         for st in fs.listStatus(p):
             m = _VERSION.match(st.getPath().getName())
-            if m and st.isDirectory() and fs.exists(
-                    self._hpath(f"{base}/{st.getPath().getName()}/_SUCCESS")[1]):
+            if not m or not st.isDirectory():
+                continue
+            has = lambda f: self._exists(f"{base}/{st.getPath().getName()}/{f}")  # noqa: B023, E731
+            if has("_SUCCESS") and (has("_parts") or not has("_partial")):
                 out.append(int(m.group(1)))
         return sorted(out)
 
@@ -137,7 +153,94 @@ class TableStore:
             if version is not None:
                 reader = reader.option("versionAsOf", version)
             return reader.format("delta").load(self.path(layer, table))
-        return reader.parquet(self.snapshot_path(layer, table, version))
+        parts = self._parts(layer, table, version)
+        if parts is None:
+            df = reader.parquet(self.snapshot_path(layer, table, version))
+        else:
+            df = self._read_parts(layer, table, schema or parts[0], parts[1])
+        return df.drop(*[c for c in df.columns if c.startswith(HIDDEN)])
+
+    # ------------------------------------------------------- partitions --
+    def _parts(self, layer: str, table: str, version: int | None = None) -> tuple[T.StructType, dict[str, int]] | None:
+        """Schema, and partition folder -> version that holds it, of a snapshot that names them."""
+        fs, p = self._hpath(f"{self.snapshot_path(layer, table, version)}/_parts")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        found = json.loads(text)
+        return T.StructType.fromJson(found["schema"]), found["live"]
+
+    def _put(self, path: str, text: str) -> None:
+        """A small file, visible when whole."""
+        fs, p = self._hpath(path)
+        _, begun = self._hpath(f"{path}.begun")
+        out = fs.create(begun, True)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        fs.rename(begun, p)
+
+    def _partition_folders(self, path: str, depth: int) -> list[str]:
+        """Relative ``a=1/b=2`` folders below ``path``."""
+        level = [""]
+        for _ in range(depth):
+            level = [f"{at}/{name}".lstrip("/") for at in level
+                     for name in self.list_names(f"{path}/{at}") if "=" in name]
+        return sorted(level)
+
+    def _read_parts(self, layer: str, table: str, schema: T.StructType, live: dict[str, int]) -> DataFrame:
+        """The union of the versions' folders; partition filters reach each of them."""
+        frames = []
+        for version in sorted(set(live.values())):
+            base = f"{self.path(layer, table)}/v{version:08d}"
+            frames.append(self.spark.read.schema(schema).option("basePath", base).parquet(
+                *[f"{base}/{p}" for p, v in sorted(live.items()) if v == version]))
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], schema)
+
+    def _folder_of(self, names: list[str], row) -> str:
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return "/".join(f"{n}={NULL_PARTITION if row[n] is None else escape(str(row[n]))}" for n in names)
+
+    def _merge_touched(self, layer: str, table: str, incoming: DataFrame, keys: list[str],
+                       hash_col: str | None, null_safe: bool, partition_by: list[str]) -> None:
+        """Merge ``incoming`` and write the touched partitions as the next version."""
+        newest = self.versions(layer, table)[-1]
+        named = self._parts(layer, table)
+        if named is None:
+            whole = self.snapshot_path(layer, table)
+            live = dict.fromkeys(self._partition_folders(whole, len(partition_by)), newest)
+            schema = self.spark.read.parquet(whole).schema
+        else:
+            schema, live = named
+        target = self._read_parts(layer, table, schema, live) if live else self.read(layer, table)
+        if not live or len(set(live.values())) >= MAX_LIVE:
+            # A table that was written without partitions stays so.
+            merged = merge_upsert(target, incoming, keys, hash_col, null_safe)
+            self.write_snapshot(layer, table, merged, partition_by if live else None)
+            return
+        rows, replaced = effective_rows(target, incoming, keys, hash_col, null_safe, partition_by)
+        rows, replaced = self.stage(rows, f"{table}-rows"), self.stage(replaced, f"{table}-replaced")
+        # One row per partition comes to the driver.
+        touched = {self._folder_of(partition_by, r) for r in
+                   rows.select(*partition_by).unionByName(replaced).distinct().collect()}
+        if not touched:
+            return
+        held = {p: v for p, v in live.items() if p in touched}
+        old = self._read_parts(layer, table, schema, held)
+        version = newest + 1
+        path = f"{self.path(layer, table)}/v{version:08d}"
+        if self._exists(path):  # left by a failed merge: never visible
+            fs, p = self._hpath(path)
+            fs.delete(p, True)
+        self._put(f"{path}/_partial", "")
+        rebalanced(merge_upsert(old, rows, keys, hash_col, null_safe), partition_by) \
+            .write.mode("append").partitionBy(*partition_by).parquet(path)
+        now = {p: v for p, v in live.items() if p not in touched}
+        now.update(dict.fromkeys(self._partition_folders(path, len(partition_by)), version))
+        self._put(f"{path}/_parts", json.dumps({"schema": schema.jsonValue(), "live": now}, sort_keys=True))
 
     def write_snapshot(self, layer: str, table: str, df: DataFrame,
                        partition_by: list[str] | None = None) -> int:
@@ -178,6 +281,9 @@ class TableStore:
             self.write_snapshot(layer, table, incoming, partition_by)
         elif self.format == "delta":
             _delta_merge(self.spark, self.path(layer, table), incoming, keys, hash_col, null_safe)
+        elif partition_by:
+            self._merge_touched(layer, table, incoming, keys, hash_col, null_safe, partition_by)
+            self.vacuum(layer, table)
         else:
             merged = merge_upsert(self.read(layer, table), incoming, keys, hash_col, null_safe)
             self.write_snapshot(layer, table, merged, partition_by)
@@ -210,11 +316,27 @@ class TableStore:
         """Delete all but the newest ``keep`` snapshots; returns the removed ones."""
         if self.format == "delta" or is_append_only(layer, table):
             return []
-        old = self.versions(layer, table)[:-keep] if keep > 0 else []
+        versions = self.versions(layer, table)
+        old, kept = (versions[:-keep], versions[-keep:]) if keep > 0 else ([], versions)
+        in_use: set[tuple[int, str]] = set()
+        for v in kept:
+            named = self._parts(layer, table, v)
+            in_use |= {(held, p) for p, held in (named[1] if named else {}).items()}
+        gone = []
         for v in old:
-            fs, p = self._hpath(self.snapshot_path(layer, table, v))
-            fs.delete(p, True)
-        return old
+            path = self.snapshot_path(layer, table, v)
+            needed = {p for held, p in in_use if held == v}
+            if not needed:
+                fs, p = self._hpath(path)
+                fs.delete(p, True)
+                gone.append(v)
+                continue
+            # A kept snapshot reads some partitions from here: the others go.
+            depth = next(iter(needed)).count("/") + 1
+            for part in set(self._partition_folders(path, depth)) - needed:
+                fs, p = self._hpath(f"{path}/{part}")
+                fs.delete(p, True)
+        return gone
 
 
 def _delta_merge(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
