@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.tokens import encoder
+from strata.llm.tokens import TABLE_BYTES, encoder
 
 CAPACITY = 2048
 BLOCK_WINDOWS = 256
@@ -91,9 +91,10 @@ def fill_windows(sizes: list[int], capacity: int, surplus: int = SURPLUS) -> lis
 
 
 def pack(docs: DataFrame, tokenizer_path: str, *, kind: str = "word", end_id: int = 1, capacity: int = CAPACITY,
-         block_windows: int = BLOCK_WINDOWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         block_windows: int = BLOCK_WINDOWS, id_col: str = "doc_id", text_col: str = "text",
+         table_bytes: int = TABLE_BYTES) -> DataFrame:
     """One row per piece: id, start, length, ids (little-endian unsigned 32-bit),
-    doc_tokens, sequence_id, offset."""
+    doc_tokens, sequence_id, offset.  ``table_bytes``: memory of a worker for encoded words."""
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
@@ -105,7 +106,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, kind: str = "word", end_id: in
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer_path, kind)
+        encode = encoder(tokenizer_path, kind, table_bytes)
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []  # (id, start, ids, doc_tokens, sequence, offset)
         items: list[tuple] = []  # (id, start in the document, ids, doc_tokens)

@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.tokens import BYTE_LEVEL_PIECES, MAX_PIECE_CHARS, MAX_PIECES, WHITE
+from strata.llm.tokens import BYTE_LEVEL_PIECES, MAX_PIECE_CHARS, WHITE
 
 # Pre-token pattern of byte-level BPE.
 PRE_TOKENS = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+"
               rf"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 NEVER = np.int32(2 ** 31 - 1)
+# Entries of a worker's tables of counts.
+MAX_PIECES = 400_000
 
 
 def byte_symbols() -> list[str]:
