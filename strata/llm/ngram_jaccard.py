@@ -16,11 +16,13 @@ as the smaller ``l`` of the two asks for before it is verified on the whole sets
    prefix.  Equal word sequences are one vertex, whatever number of documents share them.
 3. Postings (shingle, vertex) that no other vertex shares are dropped after one shuffle;
    so are vertices that share too few prefix shingles to reach any partner.
-4. Stars: every posting list gives pairs of its smallest vertex with its others, one per
-   member.  Verified links join vertices, so a large family of near copies becomes one
-   part without its pairs ever being formed.  A second round takes the next smallest.
-5. The rest: lists that still hold several parts give pairs between members of different
-   parts; those that share enough shingles are verified.
+4. Stars: every posting list gives pairs of its most central vertex (that with the most
+   shared postings) with its others, one per member.  Verified links join vertices, so a
+   large family of near copies becomes one part without its pairs ever being formed.
+5. The rest: in lists that still hold several parts, members of different parts meet if
+   the shingle is in both one-match prefixes, and are verified if their whole prefixes
+   share enough.  In lists of more than ``LONG_LIST`` parts that count is taken while the
+   members meet, so a crowded list gives no pairs but those to verify.
 
 So which texts hang together is the same as with all links; pairs inside a part that is
 already joined are not formed.  Components come from alternating star steps.
@@ -41,7 +43,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stage
@@ -56,7 +58,8 @@ SKETCH_BLOCK = 1 << 12
 MAX_MATCHES = 8
 #: Cost of verifying one shingle, in postings read.
 VERIFY_COST = 0.05
-STAR_ROUNDS = 2
+#: Lists of more parts count a pair's shared shingles before they form the pair (speed only).
+LONG_LIST = 16
 #: Memory of a worker: hashes of words, digests seen in a task (more only cost work).
 MAX_WORDS = 200_000
 MAX_SEEN = 200_000
@@ -205,21 +208,38 @@ def _prints(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
 
 
 def _postings(prints: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Staged: (t, v, level, n, ell) of the vertices that may have a partner.  ``level`` is
-    the least number of matches whose prefix holds the shingle."""
-    shorter = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    every = prints.filter("ell > 0").select("row", "n", F.posexplode("prefix").alias("pos", "t")) \
-        .select("row", "t", F.greatest(F.lit(1), F.col("pos") - shorter + 1).cast("int").alias("level"))
+    """Staged: (t, v, pos, n, ell, ok) of the vertices that may have a partner; ``pos`` is
+    the shingle's place in the vertex's prefix, from 0."""
+    every = prints.filter("ell > 0").select("row", F.posexplode("prefix").alias("pos", "t"))
     # Lists are short: shingles are taken rarest first, and copies of a text in one task
     # count once.  Rows, unlike vertices, need no join before the many lists of one go.
     shared = every.withColumn("c", F.count("*").over(Window.partitionBy("t"))).filter("c > 1").drop("c")
     # A text's copies in other tasks have prefixes, too: only its vertex's own row counts.
     own = stage(shared.join(reps.select(F.col("v").alias("row"), "n", "ell"), "row")
-                .select("t", F.col("row").alias("v"), "level", "n", "ell"), "shared-postings")
-    lists = own.groupBy("t").agg(F.count("*").alias("c"), F.min("ell").alias("low")).filter("c > 1")
-    able = own.join(lists, "t").groupBy("v").agg(F.count("*").alias("m"), F.min(F.least("ell", "low")).alias("low")) \
-        .filter("m >= low").select("v")
-    return stage(own.join(able, "v"), "postings")
+                .select("t", F.col("row").alias("v"), "pos", "n", "ell"), "shared-postings")
+    return stage(_able(own, percent), "postings")
+
+
+def _able(postings: DataFrame, percent: int) -> DataFrame:
+    """The postings of vertices that may reach a partner, with ``ok``: bit ``k`` is set if
+    at least ``k`` of the vertex's shingles in its ``k``-prefix are in shared lists.  A pair
+    that has to share ``k`` shingles needs that bit on both sides."""
+    lists = postings.groupBy("t").agg(F.count("*").alias("c"), F.bit_or(_bit("ell")).alias("ells")) \
+        .filter("c > 1").drop("c")
+    # What a vertex may have to share with some other: its own ell, or a smaller one of theirs.
+    needs = F.col("ells").bitwiseAND(_bit("ell") - 1) \
+        .bitwiseOR(F.when(F.col("ells") >= _bit("ell"), _bit("ell")).otherwise(F.lit(0)))
+    beyond = F.col("pos") - F.col("n") + F.ceil(F.col("n") * percent / 100)  # 0 and more: not in the one-match prefix
+    reach = [F.when(F.sum((beyond < k).cast("int")) >= k, F.lit(1 << k)).otherwise(F.lit(0))
+             for k in range(1, MAX_MATCHES + 1)]
+    able = postings.join(lists, "t").groupBy("v").agg(reduce(Column.bitwiseOR, reach).alias("ok"),
+                                                      F.bit_or(needs).alias("needs")) \
+        .filter(F.col("ok").bitwiseAND(F.col("needs")) != 0).select("v", "ok")
+    return postings.drop("ok").join(able, "v")
+
+
+def _bit(ell: str) -> Column:
+    return F.expr(f"shiftleft(1, cast({ell} as int))")
 
 
 def _sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -252,9 +272,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .filter(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
 
-def _sized(n: str, m: str, percent: int):
-    """Sizes that can reach ``percent`` at all."""
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m))
+def _shares_least(percent: int) -> Column:
+    """Shingles that sets of sizes ``n1`` and ``n2`` share at least, if they link."""
+    return F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent))
+
+
+def _can_meet(matches: Column, percent: int) -> Column:
+    """Sizes can link, and the shingle is in both prefixes of so many matches."""
+    least = _shares_least(percent)
+    return (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) \
+        & (F.col("pos1") < F.col("n1") - least + matches) & (F.col("pos2") < F.col("n2") - least + matches)
+
+
+def _side(rows: DataFrame, i: int) -> DataFrame:
+    return rows.select("t", *[F.col(c).alias(f"{c}{i}") for c in rows.columns if c != "t"])
+
+
+def _need() -> Column:
+    return F.least("ell1", "ell2")
 
 
 def _in_parts(postings: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -265,38 +300,39 @@ def _in_parts(postings: DataFrame, parts: DataFrame | None) -> DataFrame:
     return stage(placed.join(several, "t"), "open-postings")
 
 
-def _star_pairs(opened: DataFrame, tried: DataFrame | None, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs of every list's next smallest vertex with members of other parts, the
-    lists' smallest vertices so far)."""
-    rest = opened if tried is None else opened.join(tried, "t", "left").filter("tried is null or v > tried").drop("tried")
-    lead = rest.groupBy("t").agg(F.min(F.struct("v", "level", "n", "ell", "part")).alias("lead"))
-    lead = stage(lead.select("t", *[F.col(f"lead.{c}").alias(f"l_{c}") for c in ("v", "level", "n", "ell", "part")]), "leads")
-    need = F.least("ell", "l_ell")
-    pairs = opened.join(lead, "t").filter((F.col("part") != F.col("l_part")) & _sized("n", "l_n", percent)
-                                          & (F.greatest("level", "l_level") <= need)) \
-        .groupBy(F.least("v", "l_v").alias("a"), F.greatest("v", "l_v").alias("b")) \
-        .agg(F.count("*").alias("m"), F.max(need).alias("need")).filter("m >= need")
-    return pairs, lead.select("t", F.col("l_v").alias("tried"))
-
-
-def _cross_pairs(opened: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different parts that share enough prefix shingles.  Parts meet first, so
-    that members of one part never meet in a list."""
-    parts = opened.select("t", "part").distinct()
-    meet = parts.select("t", F.col("part").alias("p")).join(parts.select("t", F.col("part").alias("q")), "t").filter("p < q")
-    one = opened.select("t", F.col("part").alias("p"), *[F.col(c).alias(f"{c}1") for c in ("v", "level", "n", "ell")])
-    two = opened.select("t", F.col("part").alias("q"), *[F.col(c).alias(f"{c}2") for c in ("v", "level", "n", "ell")])
-    need = F.least("ell1", "ell2")
-    return meet.join(one, ["t", "p"]).join(two, ["t", "q"]) \
-        .filter(_sized("n1", "n2", percent) & (F.greatest("level1", "level2") <= need)) \
+def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of every list's most central vertex with its others."""
+    central = postings.groupBy("v").agg(F.count("*").alias("m"))
+    leads = stage(postings.join(central, "v").groupBy("t")
+                  .agg(F.max(F.struct("m", -F.col("v"), "v", "pos", "n", "ell")).alias("lead"))
+                  .select("t", *[F.col(f"lead.{c}").alias(f"{c}2") for c in ("v", "pos", "n", "ell")]), "leads")
+    return _side(postings, 1).join(leads, "t").filter((F.col("v1") != F.col("v2")) & _can_meet(_need(), percent)) \
         .groupBy(F.least("v1", "v2").alias("a"), F.greatest("v1", "v2").alias("b")) \
-        .agg(F.count("*").alias("m"), F.max(need).alias("need")).filter("m >= need")
+        .agg(F.count("*").alias("m"), F.max(_need()).alias("need")).filter("m >= need").select("a", "b")
 
 
-def _parts(links: list[DataFrame]) -> DataFrame | None:
-    """(v, root) of all vertices that hang on a smaller one."""
-    found = reduce(DataFrame.unionByName, links)
-    return None if found.isEmpty() else star_components(found)
+def _cross_pairs(opened: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts that share enough prefix shingles."""
+    prefixes = stage(opened.groupBy("v").agg(F.collect_list(F.struct("pos", "t")).alias("prefix")), "open-prefixes")
+    least = _shares_least(percent)
+
+    def held(i: int) -> Column:
+        return F.transform(F.filter(f"prefix{i}", lambda x: x["pos"] < F.col(f"n{i}") - least + _need()), lambda x: x["t"])
+
+    enough = F.size(F.array_intersect(held(1), held(2))) >= _need()
+    # Who shares ``l`` shingles in the prefixes of ``l`` matches shares one in those of one.
+    first = opened.filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100)).drop("ok")
+    lists = stage(first.select("t", "part").distinct().groupBy("t").agg(F.count("*").alias("parts"))
+                  .filter("parts > 1"), "open-lists")
+    apart = (F.col("part1") < F.col("part2")) & _can_meet(F.lit(1), percent)
+    calm = first.join(lists.filter(F.col("parts") <= LONG_LIST).select("t"), "t")
+    met = _side(calm, 1).join(_side(calm, 2), "t").filter(apart).select("v1", "n1", "ell1", "v2", "n2", "ell2").distinct()
+    of = lambda i: prefixes.select(F.col("v").alias(f"v{i}"), F.col("prefix").alias(f"prefix{i}"))
+    few = met.join(of(1), "v1").join(of(2), "v2").filter(enough)
+    crowded = stage(first.join(lists.filter(F.col("parts") > LONG_LIST).select("t"), "t").join(prefixes, "v"), "crowded")
+    many = _side(crowded, 1).join(_side(crowded, 2), "t").filter(apart & enough)
+    ends = [F.least("v1", "v2").alias("a"), F.greatest("v1", "v2").alias("b")]
+    return few.select(*ends).unionByName(many.select(*ends)).distinct()
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
@@ -312,23 +348,19 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     postings = _postings(prints, reps, percent)
     sets = _sets(docs, reps, postings.select("v").distinct(), id_col, text_col, words)
 
-    links: list[DataFrame] = []
-    parts = tried = None
-    opened = _in_parts(postings, None)
-    for _ in range(STAR_ROUNDS):
-        pairs, tried = _star_pairs(opened, tried, percent)
-        links.append(stage(_verified(pairs, sets, percent), "links"))
-        parts = _parts(links)
-        opened = _in_parts(opened.drop("part"), parts)
-    links.append(stage(_verified(_cross_pairs(opened, percent), sets, percent), "links"))
-    if not links[-1].isEmpty():
-        parts = _parts(links)
+    links = stage(_verified(_star_pairs(postings, percent), sets, percent), "links")
+    parts = None if links.isEmpty() else star_components(links)
+    opened = _in_parts(postings, parts)
+    if not opened.isEmpty():
+        more = stage(_verified(_cross_pairs(opened, percent), sets, percent), "links")
+        if not more.isEmpty():
+            parts = star_components(links.unionByName(more))
 
     if parts is None:
         placed = members.withColumn("root", F.col("v"))
     else:
         placed = stage(members.join(parts, "v", "left").withColumn("root", F.coalesce("root", "v")), "placed")
-    smallest = placed.filter("root is not null").groupBy("root").agg(F.min("id").alias("component_id"))
+    smallest = stage(placed.filter("root is not null").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
     joined = placed.join(smallest, "root", "left")
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                          F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
