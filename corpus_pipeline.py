@@ -34,9 +34,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: the token ids in sequences of at most 2048."""
+    """Operator 6: the token ids in sequences of at most 2048.  The stages share the
+    executors' memory, so the table of encoded words is a small one."""
     import public_tokenizers
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), table_bytes=64 << 20)
 
 
 STAGES = [
