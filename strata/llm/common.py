@@ -61,3 +61,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def text_of(column: str) -> Column:
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have (names differ in more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

@@ -5,6 +5,7 @@ from __future__ import annotations
 from strata.llm import license_scan as ls
 from strata.llm import quality_rules as qr
 
+_LADDER = ", ".join(str((i, *cuts)) for i, cuts in enumerate(qr.LADDER, 1))
 _RULE_CTES = rf"""
 d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (
@@ -30,29 +31,37 @@ counts AS (
   FROM w LEFT JOIN repeats USING (doc_id)),
 verdict AS (
   SELECT *, n_words < {qr.MIN_WORDS} OR 100 * n_repeat_words > {qr.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-         CASE WHEN lang IN ({", ".join(f"'{s}'" for s in qr.STRATA)}) THEN lang ELSE '{qr.OTHER}' END AS stratum
+         coalesce(lang, '{qr.OTHER}') AS tongue,
+         {", ".join(f"CASE WHEN {whole} > 0 THEN 1000 * {part} // {whole} ELSE 0 END AS {m}"
+                    for m, (part, whole) in qr.METRICS.items())}
   FROM counts),
-metrics AS (
-  {" UNION ALL ".join(
-      f"SELECT doc_id, stratum, base_failed, '{m}' AS metric, "
-      f"CASE WHEN {whole} > 0 THEN 1000 * {part} // {whole} ELSE 0 END AS v FROM verdict"
-      for m, (part, whole) in qr.METRICS.items())}),
+ladder AS (SELECT * FROM (VALUES {_LADDER}) x(rung, {", ".join(f"c_{m}" for m in qr.METRICS)})),
 clean AS (
   SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND max(toxic) = 0),
+trials AS (
+  SELECT t, min(tongue) AS tongue, {", ".join(f"min({m}) AS {m}" for m in qr.METRICS)}
+  FROM verdict JOIN clean USING (doc_id) JOIN (SELECT doc_id, t FROM d) USING (doc_id)
+  WHERE NOT base_failed GROUP BY t),
+strata AS (
+  SELECT tongue FROM trials WHERE tongue <> '{qr.OTHER}' GROUP BY tongue
+  HAVING count(*) >= {qr.MIN_TEXTS} AND 1000 * count(*) >= (SELECT count(*) FROM trials)),
 tests AS (
-  SELECT stratum, metric, c, count(*) AS n, count(*) FILTER (WHERE v > c) AS k
-  FROM metrics JOIN clean USING (doc_id), (SELECT unnest({list(qr.CUTOFFS)}) AS c)
-  WHERE NOT base_failed GROUP BY ALL),
-cutoffs AS (
-  SELECT stratum, metric, min(c) AS cutoff FROM tests
-  WHERE k < {qr.STRATUM_RISK / len(qr.METRICS)} * n
+  SELECT CASE WHEN tongue IN (FROM strata) THEN tongue ELSE '{qr.OTHER}' END AS stratum, rung, count(*) AS n,
+         count(*) FILTER (WHERE {" OR ".join(f"{m} > c_{m}" for m in qr.METRICS)}) AS k
+  FROM trials, ladder GROUP BY ALL),
+reached AS (
+  SELECT stratum, max(rung) AS rung FROM tests
+  WHERE k < {qr.STRATUM_RISK} * n
     AND list_sum(list_transform(range(0, k + 1), lambda j: exp(
           lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-          + j * ln({qr.STRATUM_RISK / len(qr.METRICS)}) + (n - j) * ln(1 - {qr.STRATUM_RISK / len(qr.METRICS)})
-        ))) <= {qr.DELTA / ((len(qr.STRATA) + 1) * len(qr.METRICS) * len(qr.CUTOFFS))}
+          + j * ln({qr.STRATUM_RISK}) + (n - j) * ln(1 - {qr.STRATUM_RISK}))))
+        <= {qr.DELTA} / (1 + (SELECT count(*) FROM strata))
   GROUP BY ALL),
 rejected AS (
-  SELECT DISTINCT doc_id FROM metrics JOIN cutoffs USING (stratum, metric) WHERE v > cutoff)
+  SELECT doc_id FROM verdict
+  JOIN reached ON stratum = CASE WHEN tongue IN (FROM strata) THEN tongue ELSE '{qr.OTHER}' END
+  JOIN ladder USING (rung)
+  WHERE {" OR ".join(f"{m} > c_{m}" for m in qr.METRICS)})
 """
 
 

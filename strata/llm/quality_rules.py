@@ -1,27 +1,31 @@
 """Quality rules with risk-controlled cutoffs (native expressions only).
 
 Per document a few counts are taken over the whole text.  Fixed base rules
-reject very short and very repetitive texts.  On top of them every metric gets,
-per stratum (language), the strictest cutoff of a fixed grid for which the
-labelled clean documents prove that it rejects few of them:
-
-* the labelled holdout of a stratum has ``n`` clean documents, ``k`` of which
-  exceed a cutoff;
-* the cutoff is certified if ``P(Bin(n, risk) <= k) <= confidence share``, the
-  exact (Clopper-Pearson) upper bound of the rejection rate being below
-  ``risk`` then;
-* the error budget ``delta`` is divided by the number of all tests made
-  (strata x metrics x cutoffs, Bonferroni) and the rejection budget of a
-  stratum by the number of metrics, so that with probability ``1 - delta`` no
-  stratum loses more than ``stratum_risk`` of its clean documents.
-
-Too few labels certify nothing, and then only the base rules reject.
-
-Defined results: a null text is the empty text; a null or unlisted language is
-the stratum ``other``; labels with nulls are ignored, repeated labels of one
+reject very short and very repetitive texts.  On top of them every stratum
+(language) climbs a fixed ladder of rungs: a rung gives each metric a cutoff, a
+higher rung none that is laxer.  The labelled clean documents prove how far:
+
+* the labelled holdout of a stratum has ``n`` distinct clean texts, of which
+  ``k`` exceed some cutoff of a rung;
+* the rung is certified if ``P(Bin(n, risk) <= k) <= delta / strata``, that is
+  if the exact (Clopper-Pearson) upper bound of the rate at which the whole rung
+  rejects clean texts is below ``risk``;
+* rungs are tested from the laxest up and the first failure ends the climb
+  (fixed-sequence testing: no error budget is divided within a stratum); between
+  the strata the budget ``delta`` is divided (Bonferroni).  So with probability
+  ``1 - delta`` no stratum loses more than ``risk`` of its clean texts.
+
+A language is a stratum of its own if it has ``MIN_TEXTS`` clean labelled texts
+and a thousandth of them all (so there are at most a thousand); the others share
+the stratum ``other``.  Copies of a text are one trial, in the smallest of its
+languages.  Too few labels certify nothing, and then only the base rules reject.
+Three-word windows and labelled texts are told apart by their 64-bit hashes.
+
+Defined results: a null text is the empty text; a null language belongs to the
+stratum ``other``; labels with nulls are ignored, repeated labels of one
 document count once, by their worst values; repeated rows and ids each get
-their own row; further columns are ignored by ``rule_counts`` and passed through
-by ``filter_documents``.
+their own row; further columns, whatever their names, are ignored by
+``quality_report`` and passed through by ``filter_documents``.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ASCII_SPACES, let, stage, text_of
+from strata.llm.common import ASCII_SPACES, free_name, let, stage, text_of
 
 # Base rules and what counts as a symbol.
 SYMBOLS = "#*$%&|<>"
@@ -42,8 +46,8 @@ REPEAT_WINDOW = 3
 # Up to so many repeated windows are looked up one by one (speed only).
 FEW_REPEATS = 24
 
-STRATA = ("de", "en", "es", "fr")
 OTHER = "other"
+MIN_TEXTS = 100
 # Metrics are whole thousandths, so that both sides of a comparison are exact.
 METRICS = {
     "symbols": ("n_symbols", "word_chars"),
@@ -51,8 +55,17 @@ METRICS = {
     "repeats": ("n_repeat_words", "n_words"),
     "capitals": ("n_capitals", "word_chars"),
 }
-CUTOFFS = (10, 20, 50, 100, 150, 200, 300, 400, 500, 600, 800)
-STRATUM_RISK = 0.01
+# Cutoffs of the metrics by rung; the last ones are about those of published web filters.
+LADDER = (
+    (600, 900, 490, 900),
+    (500, 800, 480, 800),
+    (400, 700, 460, 700),
+    (300, 600, 440, 600),
+    (200, 500, 420, 500),
+    (150, 450, 410, 400),
+    (100, 400, 400, 300),
+)
+STRATUM_RISK = 0.03
 DELTA = 0.05
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
 
@@ -94,8 +107,8 @@ def _repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < w, F.lit(0)).otherwise(let(hashes(words), counted))
 
 
-def rule_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the counts of the rules (``COUNTS``, long) in one struct ``rules``."""
+def rule_counts(docs: DataFrame, text_col: str = "text", name: str = "rules") -> DataFrame:
+    """``docs`` with the counts of the rules (``COUNTS``, long) in one struct ``name``."""
     text = text_of(text_col)
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counts = let(
@@ -108,7 +121,7 @@ def rule_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             _repeated_words(d["w"]).cast("long").alias("n_repeat_words"),
             F.size(d["l"]).cast("long").alias("n_lines"),
             F.length(F.regexp_replace(d["t"], "[^A-Z]+", "")).cast("long").alias("n_capitals")))
-    return docs.withColumn("rules", counts)
+    return docs.withColumn(name, counts)
 
 
 def base_failed(r: Column) -> Column:
@@ -120,10 +133,6 @@ def metric(r: Column, name: str) -> Column:
     return F.when(r[whole] > 0, F.floor(1000 * r[part] / r[whole])).otherwise(F.lit(0)).cast("long")
 
 
-def stratum(lang_col: str = "lang") -> Column:
-    return F.when(F.col(lang_col).isin(*STRATA), F.col(lang_col)).otherwise(F.lit(OTHER))
-
-
 def binomial_cdf(k: int, n: int, p: float) -> float:
     """P(Bin(n, p) <= k) for k below the mean, summed from its largest term down."""
     term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
@@ -144,41 +153,65 @@ def certified(k: int, n: int, risk: float, level: float) -> bool:
 
 def counted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang") -> DataFrame:
-    """(id, stratum, rules) per document, staged: a few numbers each."""
-    slim = docs.select(F.col(id_col).alias("id"), stratum(lang_col).alias("stratum"), F.col(text_col).alias("text"))
-    return stage(rule_counts(slim).select("id", "stratum", "rules"), "rule-counts")
+    """(id, lang, rules, text_hash) per document, staged: a few numbers each."""
+    slim = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                       F.col(text_col).alias("text"))
+    return stage(rule_counts(slim).select("id", "lang", "rules", F.xxhash64(text_of("text")).alias("text_hash")),
+                 "rule-counts")
+
+
+def exceeds(r: Column, cutoffs) -> Column:
+    """True if some metric is over its cutoff."""
+    hit = F.lit(False)
+    for m, c in zip(METRICS, cutoffs):
+        hit = hit | (metric(r, m) > c)
+    return hit
+
+
+def climb(n: int, over: list[int], risk: float, level: float) -> int:
+    """The highest rung reached, from 1; 0 if the first is not certified."""
+    for rung, k in enumerate(over):
+        if not certified(k, n, risk, level):
+            return rung
+    return len(over)
 
 
-def learn_cutoffs(counts: DataFrame, labels: DataFrame, *, label_id_col: str = "doc_id",
-                  stratum_risk: float = STRATUM_RISK, delta: float = DELTA) -> dict[tuple[str, str], int]:
-    """(stratum, metric) -> the smallest certified cutoff, over all labelled documents.
+def learn_rungs(counts: DataFrame, labels: DataFrame, *, label_id_col: str = "doc_id",
+                stratum_risk: float = STRATUM_RISK, delta: float = DELTA) -> dict[str, int]:
+    """stratum -> its rung, over all labelled documents.
 
-    ``counts`` comes from ``counted``.  The driver gets one row per stratum: its
-    counts for the fixed grid.
+    ``counts`` comes from ``counted``.  The driver gets one row per stratum, of
+    which there are at most a thousand and ``other``.
     """
     r = F.col("rules")
-    slim = counts.filter(~base_failed(r)).select("id", "stratum", *[metric(r, m).alias(m) for m in METRICS])
     clean = labels.groupBy(F.col(label_id_col).alias("id")) \
         .agg(F.min("quality").alias("q"), F.max("toxic").alias("x")) \
         .filter((F.col("q") == 1) & (F.col("x") == 0)).select("id")
-    over = [F.sum((F.col(m) > c).cast("long")).alias(f"{m}_{c}") for m in METRICS for c in CUTOFFS]
-    rows = slim.join(clean, "id", "left_semi").groupBy("stratum").agg(F.count("*").alias("n"), *over).collect()
-    level = delta / ((len(STRATA) + 1) * len(METRICS) * len(CUTOFFS))
-    risk = stratum_risk / len(METRICS)
-    found: dict[tuple[str, str], int] = {}
-    for row in rows:
-        for m in METRICS:
-            good = [c for c in CUTOFFS if certified(row[f"{m}_{c}"], row["n"], risk, level)]
-            if good:
-                found[row["stratum"], m] = min(good)
-    return found
-
-
-def kept(r: Column, strat: Column, cutoffs: dict[tuple[str, str], int]) -> Column:
-    verdict = ~base_failed(r)
-    for (s, m), c in sorted(cutoffs.items()):
-        verdict = verdict & ~((strat == s) & (metric(r, m) > c))
-    return verdict
+    texts = counts.filter(~base_failed(r)).join(clean, "id", "left_semi").groupBy("text_hash") \
+        .agg(F.min(F.coalesce("lang", F.lit(OTHER))).alias("lang"), F.min("rules").alias("rules"))
+    sums = [F.sum(exceeds(r, c).cast("long")).alias(f"k{i}") for i, c in enumerate(LADDER)]
+    langs = stage(texts.groupBy("lang").agg(F.count("*").alias("n"), *sums), "rule-trials")
+    total = langs.agg(F.sum("n")).first()[0] or 0
+    own = (F.col("lang") != OTHER) & (F.col("n") >= MIN_TEXTS) & (1000 * F.col("n") >= total)
+    rows = langs.groupBy(F.when(own, F.col("lang")).otherwise(F.lit(OTHER)).alias("lang")) \
+        .agg(F.sum("n").alias("n"), *[F.sum(f"k{i}").alias(f"k{i}") for i in range(len(LADDER))]).collect()
+    level = delta / (len({row["lang"] for row in rows} | {OTHER}))
+    return {OTHER: 0} | {row["lang"]: climb(row["n"], [row[f"k{i}"] for i in range(len(LADDER))], stratum_risk, level)
+                         for row in rows}
+
+
+def stratum(lang: Column, rungs: dict[str, int]) -> Column:
+    return F.when(lang.isin(*rungs), lang).otherwise(F.lit(OTHER))
+
+
+def kept(r: Column, lang: Column, rungs: dict[str, int]) -> Column:
+    pairs = [F.lit(x) for item in sorted(rungs.items()) for x in item]
+    rung = F.element_at(F.create_map(*pairs), stratum(lang, rungs))
+    over = F.lit(False)
+    for i, m in enumerate(METRICS):
+        cutoff = F.get(F.array(*[F.lit(c[i]) for c in LADDER]), rung - 1)
+        over = over | F.coalesce(metric(r, m) > cutoff, F.lit(False))
+    return ~base_failed(r) & ~over
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -186,22 +219,22 @@ def quality_report(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     """One row per document: id, the counts, stratum, ``base_failed`` and ``kept``."""
     r = F.col("rules")
     counts = counted(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
-    cutoffs = learn_cutoffs(counts, labels, **risk)
+    rungs = learn_rungs(counts, labels, **risk)
     return counts.select(
-        F.col("id").alias(id_col), *[r[c].alias(c) for c in COUNTS], "stratum",
-        base_failed(r).alias("base_failed"), kept(r, F.col("stratum"), cutoffs).alias("kept"))
+        F.col("id").alias(id_col), *[r[c].alias(c) for c in COUNTS], stratum(F.col("lang"), rungs).alias("stratum"),
+        base_failed(r).alias("base_failed"), kept(r, F.col("lang"), rungs).alias("kept"))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                      lang_col: str = "lang", **risk) -> DataFrame:
     """The documents that pass all rules, with their own columns unchanged.
 
-    The cutoffs need a pass over all documents first; the second pass filters.
+    The documents are staged with their counts, so that every text is counted once;
+    learning reads the small columns of that table alone.
     """
-    counts = counted(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
-    cutoffs = learn_cutoffs(counts, labels, **risk)
-    mark = "_rules_of_input"
-    inner = docs.withColumnRenamed("rules", mark) if "rules" in docs.columns else docs
-    passed = rule_counts(inner, text_col) \
-        .filter(kept(F.col("rules"), stratum(lang_col), cutoffs)).drop("rules")
-    return passed.withColumnRenamed(mark, "rules") if mark in passed.columns else passed
+    name = free_name(docs, "rules")
+    full = stage(rule_counts(docs, text_col, name), "ruled")
+    slim = full.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
+                       F.col(name).alias("rules"), F.xxhash64(text_of(text_col)).alias("text_hash"))
+    rungs = learn_rungs(slim, labels, **risk)
+    return full.filter(kept(F.col(name), F.col(lang_col).cast("string"), rungs)).drop(name)

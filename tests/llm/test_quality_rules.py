@@ -5,6 +5,7 @@ from collections import Counter
 from math import comb
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import quality_rules as Q
 
@@ -48,24 +49,58 @@ def test_certified_cutoffs_keep_their_promise():
 
 
 def corpus(spark, n):
-    clean = " ".join(f"word{i}" for i in range(60))
-    noisy = " ".join(f"word{i}###" for i in range(60))
-    rows = [(i, noisy if i % 10 == 0 else clean, "en" if i % 2 else "fr", "s") for i in range(n)]
+    """Distinct texts; every tenth one is noisy."""
+    rows = [(i, " ".join(f"word{i}x{j}" + "###" * (i % 10 == 0) for j in range(60)), "en" if i % 2 else "fr", "s")
+            for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, rules string")
     labels = spark.createDataFrame([(i, int(i % 10 != 0), 0) for i in range(n)], "doc_id long, quality int, toxic int")
     return docs, labels
 
 
-def test_learnt_cutoff_rejects_and_too_few_labels_do_not(spark):
-    docs, labels = corpus(spark, 12_000)
+def left_of(spark_df):
+    return {r["doc_id"] for r in spark_df.select("doc_id").collect()}
+
+
+def test_learnt_rungs_reject_and_too_few_labels_do_not(spark):
+    docs, labels = corpus(spark, 2_000)
     kept = Q.filter_documents(docs, labels)
     assert kept.columns == docs.columns
-    left = {r["doc_id"] for r in kept.select("doc_id").collect()}
-    assert {i for i in range(12_000) if i % 10} == left - {i for i in left if i % 10 == 0}
-    assert not {i for i in left if i % 10 == 0}
-    few = labels.filter("doc_id < 100")
-    assert Q.filter_documents(docs, few).count() == 12_000
-    assert Q.filter_documents(docs, labels.limit(0)).count() == 12_000
+    assert left_of(kept) == {i for i in range(2_000) if i % 10}
+    assert Q.filter_documents(docs, labels.filter("doc_id < 100")).count() == 2_000
+    assert Q.filter_documents(docs, labels.limit(0)).count() == 2_000
+
+
+def test_copies_are_one_trial(spark):
+    docs, labels = corpus(spark, 2_000)
+    copies = docs.withColumn("text", F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(
+        F.concat_ws(" ", *[F.lit(f"same{j}") for j in range(60)])))
+    assert Q.filter_documents(copies, labels).count() == 2_000
+
+
+def test_fixed_sequence_ends_at_the_first_failure():
+    assert Q.climb(1000, [0, 2, 5, 400, 0], 0.03, 0.01) == 3
+    assert Q.climb(1000, [0, 0, 0], 0.03, 0.01) == 3
+    assert Q.climb(100, [0, 0, 0], 0.03, 0.01) == 0 == Q.climb(0, [0], 0.03, 0.5)
+
+
+def test_ladder_never_becomes_laxer():
+    assert all(a >= b for low, high in zip(Q.LADDER, Q.LADDER[1:]) for a, b in zip(low, high))
+
+
+def test_strata_come_from_the_data(spark):
+    docs, labels = corpus(spark, 2_000)
+    some = docs.withColumn("lang", F.expr(
+        "case when doc_id % 2 = 1 then 'xx' when doc_id < 100 then 'yy' when doc_id % 4 = 0 then null else 'other' end"))
+    rungs = Q.learn_rungs(Q.counted(some), labels)
+    assert set(rungs) == {"xx", "other"} and min(rungs.values()) > 0
+    assert left_of(Q.filter_documents(some, labels)) == {i for i in range(2_000) if i % 10}
+
+
+def test_rejections_of_clean_texts_stay_under_the_risk(spark):
+    """Where many clean texts are noisy no rung that rejects them is certified."""
+    docs, _ = corpus(spark, 2_000)
+    labels = spark.range(2_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert Q.filter_documents(docs, labels).count() == 2_000
 
 
 def test_odd_rows(spark):
