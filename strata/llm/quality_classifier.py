@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import stage
+from strata.llm.common import free_name, stage
 
 FIT_ROWS = 6000
 ROUNDS = 3
@@ -479,7 +479,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     """One row per document: id, text_score, meta_score, score, keep."""
     model, table = _train(docs, labels, id_col=id_col, **settings)
     if model is None:
-        return scored(docs, None, "_scored").select(id_col, "_scored.*")
+        name = free_name(docs, "_scored")
+        return scored(docs, None, name).select(id_col, f"{name}.*")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -499,4 +500,5 @@ def filter_documents(docs: DataFrame, labels: DataFrame, **settings) -> DataFram
     """The documents that the classifier keeps, with their own columns."""
     model = train(docs, labels, **settings)
     columns = {k: v for k, v in settings.items() if k.endswith("_col") and k != "id_col"}
-    return scored(docs, model, "_scored", **columns).filter("_scored.keep").drop("_scored")
+    name = free_name(docs, "_scored")
+    return scored(docs, model, name, **columns).filter(F.col(name)["keep"]).drop(name)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import stage
+from strata.llm.common import free_name, stage
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -313,13 +313,14 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of each component: of the smallest id (null only if there is
     no other), then of the smallest fingerprint; any one of rows equal in both."""
     prints, classes = components(docs, id_col=id_col, text_col=text_col, words=words, bits=bits)
+    own, won, fp = (free_name(docs, name) for name in ("_id", "_won", "_fp"))
     if prints.groupBy("id").count().filter("count > 1").isEmpty():
         state = prints.join(classes.select("fp", "component_id"), "fp")
-        losers = state.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_id"))
-        return docs.join(stage(losers, "losers"), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+        losers = state.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(own))
+        return docs.join(stage(losers, "losers"), F.col(id_col).eqNullSafe(F.col(own)), "left_anti")
     first = F.min(F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), "fp"))
     winners = stage(classes.groupBy("root").agg(first.alias("w"))
-                    .select(F.col("w.id").alias("_id"), F.col("w.fp").alias("_won")), "winners")
-    printed = with_fingerprint(docs, text_col, "_fp", words)
-    return printed.join(winners, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_fp") == F.col("_won")),
-                        "left_semi").dropDuplicates([id_col, "_fp"]).drop("_fp")
+                    .select(F.col("w.id").alias(own), F.col("w.fp").alias(won)), "winners")
+    printed = with_fingerprint(docs, text_col, fp, words)
+    return printed.join(winners, F.col(id_col).eqNullSafe(F.col(own)) & (F.col(fp) == F.col(won)),
+                        "left_semi").dropDuplicates([id_col, fp]).drop(fp)
