@@ -14,14 +14,16 @@ times at a few steps, give the hash keys; windows that share a key and at least
 of the emitted words are candidates.  For each candidate the exact least edit
 distance (in words) between the whole item and any stretch of the document around
 it is computed; the document holds the item if that is at most ``MAX_EDITS`` of the
-item's words (similarity 0.8).
+item's words (similarity 0.8).  Items of fewer than ``WINDOW_WORDS`` words may not
+differ in a word: every stretch of their own length is looked up and compared.
 
 The items are shipped in blocks of bounded size; a larger benchmark takes more
 passes over the documents.  Documents are never shuffled.
 
-Defined results: null and empty texts and items match nothing, nor do items of
-fewer than ``MIN_WORDS`` words (too short to be evidence); items of equal words are
-all reported, a repeated benchmark row once; repeated rows each report; further columns are ignored or passed
+Defined results: null texts and items and those without a word match nothing, nor do
+items of fewer than ``min_words`` words (1: all are searched; who takes a short item
+for no evidence names more); items of equal words are all reported, a repeated
+benchmark row once; repeated rows each report; further columns are ignored or passed
 through.
 """
 
@@ -36,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_EDITS = 0.2
-MIN_WORDS = 5
+# Items of so many words are searched by walks, shorter ones word by word.
+WINDOW_WORDS = 5
 WALKS, SAMPLES = 4, 4
 BLOCK_BYTES = 1 << 20
 # Per size class: steps of the walk, stride of the documents' windows, least
 # words of an item, sampled steps, least common steps.
-CLASSES = ((16, 4, 22, 4, 8), (9, 2, 12, 4, 5), (5, 1, MIN_WORDS, 3, 3))
+CLASSES = ((16, 4, 22, 4, 8), (9, 2, 12, 4, 5), (5, 1, WINDOW_WORDS, 3, 3))
 TABLE_BITS = 20
 
 _TO_SPACE = bytes(x if x >= 128 or chr(x).isalnum() else 32 for x in range(256))
@@ -153,17 +156,45 @@ class SizeClass:
         return place // n_items, place % n_items, word
 
 
+class ShortItems:
+    """The items of one length below ``WINDOW_WORDS``, looked up exactly."""
+
+    def __init__(self, length: int, items: list[tuple[int, list[bytes]]]):
+        self.length = length
+        keys = np.array([self.key(hashes_of(words), np.zeros(1, dtype=np.int64))[0] for _, words in items])
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+        self.numbers = np.array([i for i, _ in items])[self.order]
+
+    def key(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        key = np.zeros(len(starts), dtype=np.uint64)
+        for t in range(self.length):
+            key = (key ^ (key >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + x[starts + t]
+        return key
+
+    def places(self, x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, item) of all stretches with an item's key, ascending by start."""
+        key = self.key(x, starts)
+        low = np.searchsorted(self.keys, key, "left")
+        n = np.searchsorted(self.keys, key, "right") - low
+        hit = np.flatnonzero(n)
+        low, n = low[hit], n[hit]
+        return np.repeat(starts[hit], n), self.numbers[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
 class Index:
     """Searches texts for the items ``[(item id, text)]``."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int, str | None]], min_words: int = 1):
         by_words: dict[tuple[bytes, ...], list[int]] = {}
         for item_id, text in items:
             words = tuple(words_of(text))
-            if len(words) >= MIN_WORDS:
+            if len(words) >= max(min_words, 1):
                 by_words.setdefault(words, []).append(item_id)
         self.items = [list(w) for w in by_words]
         self.ids = list(by_words.values())
+        self.short = [ShortItems(n, own) for n in range(1, WINDOW_WORDS)
+                      if (own := [(i, w) for i, w in enumerate(self.items) if len(w) == n])]
         self.classes = []
         low = [c[2] for c in CLASSES]
         for k, shape in enumerate(CLASSES):
@@ -186,13 +217,33 @@ class Index:
         if block:
             yield from self._block(block)
 
+    def _short(self, block: list[tuple[int, list[bytes]]], x: np.ndarray,
+               bases: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """The first place of every short item in every text."""
+        starts = np.repeat(bases - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        for short in self.short:
+            at, item = short.places(x, starts)
+            doc = np.searchsorted(bases, at, "right") - 1
+            order = np.lexsort((at, item, doc))
+            done = (-1, -1)
+            for k in order.tolist():
+                d, i = int(doc[k]), int(item[k])
+                begin = int(at[k] - bases[d])
+                (row, words), end = block[d], begin + short.length
+                # Equal keys are compared, so the first true place is found among all.
+                if (d, i) != done and words[begin:end] == self.items[i]:
+                    done = (d, i)
+                    for item_id in self.ids[i]:
+                        yield row, item_id, 0, short.length, end
+
     def _block(self, block: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, int, int, int, int]]:
-        if not self.classes:
+        if not self.classes and not self.short:
             return
-        pad = np.zeros(max(c.steps for c in self.classes) + 1, dtype=np.uint32)
+        pad = np.zeros(max([c.steps for c in self.classes] + [WINDOW_WORDS]) + 1, dtype=np.uint32)
         x = np.concatenate([p for _, words in block for p in (hashes_of(words), pad)])
         lengths = np.array([len(words) for _, words in block])
         bases = np.cumsum(np.concatenate(([0], lengths + len(pad))))[:-1]
+        yield from self._short(block, x, bases, lengths)
         near: dict[tuple[int, int], list[int]] = {}
         for c in self.classes:
             n = (lengths + c.stride - 1) // c.stride
@@ -233,12 +284,12 @@ class Index:
 _INDEXES: dict[int, Index] = {}
 
 
-def index_of(items: tuple[tuple[int, str | None], ...]) -> Index:
+def index_of(items: tuple[tuple[int, str | None], ...], min_words: int) -> Index:
     """One index per worker process and block of items."""
-    key = hash(items)
+    key = hash((items, min_words))
     if key not in _INDEXES:
         _INDEXES.clear()
-        _INDEXES[key] = Index(list(items))
+        _INDEXES[key] = Index(list(items), min_words)
     return _INDEXES[key]
 
 
@@ -255,7 +306,8 @@ def item_blocks(benchmark: DataFrame, item_id_col: str, item_text_col: str,
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          item_id_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+          min_words: int = 1) -> DataFrame:
     """One row per document and benchmark item that it holds: id, item_id, distance
     (word edits), item_words, end_word (place in the document's words)."""
     id_type = docs.schema[id_col].dataType
@@ -267,7 +319,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
     for items in item_blocks(benchmark, item_id_col, item_text_col, block_bytes):
         def find(batches, items=items):
             import pyarrow as pa
-            index = index_of(items)
+            index = index_of(items, min_words)
             for batch in batches:
                 rows = list(index.search(batch.column(1).to_pylist()))
                 ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
@@ -282,14 +334,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id",
-                 item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, min_words: int = 1) -> DataFrame:
     """The documents that hold no benchmark item, with their own columns."""
     for items in item_blocks(benchmark, item_id_col, item_text_col, block_bytes):
         @F.pandas_udf(T.BooleanType())
         def holds(texts, items=items):
             import pandas as pd
             out = np.zeros(len(texts), dtype=bool)
-            out[[r[0] for r in index_of(items).search(texts.tolist())]] = True
+            out[[r[0] for r in index_of(items, min_words).search(texts.tolist())]] = True
             return pd.Series(out)
 
         docs = docs.filter(~holds(F.col(text_col)))

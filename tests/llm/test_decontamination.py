@@ -43,7 +43,7 @@ def corpus(seed, n_docs, sizes, edits):
 
 def brute(items, docs):
     return {(d, i) for d, t in docs for i, x in items
-            if len(D.words_of(x)) >= D.MIN_WORDS
+            if D.words_of(x)
             and plain_distance(D.words_of(x), D.words_of(t)) <= D.allowed_edits(len(D.words_of(x)))}
 
 
@@ -57,7 +57,8 @@ def test_least_distance_is_exact():
 
 def test_recall_and_precision():
     for sizes, edits, least in (((25, 40, 60), 0.0, 1.0), ((25, 40, 60), 0.1, 0.97), ((25, 40, 60), 0.19, 0.9),
-                                ((12, 15, 21), 0.0, 1.0), ((12, 15, 21), 0.15, 0.9), ((5, 8, 11), 0.0, 1.0)):
+                                ((12, 15, 21), 0.0, 1.0), ((12, 15, 21), 0.15, 0.9), ((5, 8, 11), 0.0, 1.0),
+                                ((1, 2, 3, 4), 0.0, 1.0), ((22, 26, 30), 0.19, 0.9), ((5, 7, 10), 0.19, 0.9)):
         items, docs, planted = corpus(7, 160, sizes, edits)
         want = brute(items, docs)
         found = {(docs[row][0], item) for row, item, *_ in D.Index(items).search([t for _, t in docs])}
@@ -65,6 +66,24 @@ def test_recall_and_precision():
         assert len(found) >= least * len(want), (sizes, edits, len(found), len(want))
 
 
+def test_short_items_exactly():
+    """Items of one to four words: all places' firsts, equal to a plain search."""
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choice("abcdefg") for _ in range(1 + i % 4))) for i in range(60)]
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 60))) for _ in range(150)] + ["", None, "z"]
+    want = set()
+    for row, text in enumerate(texts):
+        words = D.words_of(text)
+        for i, x in items:
+            item = D.words_of(x)
+            ends = [k + len(item) for k in range(len(words) - len(item) + 1) if words[k:k + len(item)] == item]
+            if ends:
+                want.add((row, i, 0, len(item), ends[0]))
+    found = list(D.Index(items).search(texts))
+    assert len(found) == len(set(found)) and set(found) == want
+    assert {x[1] for x in D.Index(items, min_words=3).search(texts)} == {i for _, i, _, n, _ in want if n >= 3}
+
+
 def test_defined_results(spark):
     items = [(1, "Alpha beta gamma delta epsilon zeta eta"), (2, "alpha, beta gamma delta epsilon zeta eta"),
              (3, None), (4, ""), (5, "too short"), (None, "one two three four five six")]
@@ -74,10 +93,11 @@ def test_defined_results(spark):
                                   (None, "x ONE two three four five six y", "d"), (4, "too short", "e")],
                                  "doc_id long, text string, item_id string")
     got = sorted((str(r["doc_id"]), str(r["item_id"]), r["distance"]) for r in D.leaks(docs, bench).collect())
-    assert got == [("3", "1", 0), ("3", "1", 0), ("3", "2", 0), ("3", "2", 0), ("None", "None", 0)]
+    assert got == [("3", "1", 0), ("3", "1", 0), ("3", "2", 0), ("3", "2", 0), ("4", "5", 0), ("None", "None", 0)]
     left = D.drop_leaking(docs, bench)
     assert left.columns == docs.columns
-    assert sorted(r["doc_id"] for r in left.collect()) == [1, 2, 4]
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 2]
+    assert sorted(r["doc_id"] for r in D.drop_leaking(docs, bench, min_words=3).collect()) == [1, 2, 4]
     assert D.leaks(docs.limit(0), bench).count() == 0
     assert D.leaks(docs, bench.limit(0)).count() == 0
     assert D.drop_leaking(docs, bench.limit(0)).count() == docs.count()
