@@ -45,12 +45,12 @@ MAX_LIVE = 8
 HIDDEN = "__p_"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Control tables that are only ever appended to.
-LOGS = frozenset({"silver_watermark", "gold_changes", "rejected_rows"})
+LOGS = frozenset({"silver_watermark", "gold_changes", "rejected_rows", "stream_files"})
 
 
 def is_append_only(layer: str, table: str) -> bool:
     """One notion for ``exists``, ``read`` and ``append``."""
-    return layer == "bronze" or layer == "control" and table in LOGS
+    return layer == "bronze" or layer == "control" and table.split("/")[0] in LOGS
 
 
 def delta_available(spark: SparkSession) -> bool:

@@ -7,8 +7,8 @@ processes everything that has arrived and stops, so the same code runs as a
 scheduled batch job or continuously with a processing-time trigger.
 
 Each micro-batch: lineage + quality -> staged in the shared checkpoint
-folder -> appended to bronze, unless bronze holds the rows of that file ->
-the batch form's silver load from the table's watermark.  So a batch that is
+folder -> appended to bronze, unless the ledger (``streaming.ledger``) says that
+the file is there -> the batch form's silver load from the table's watermark.  So a batch that is
 replayed, also under a new checkpoint, appends nothing twice, and stream and
 batch loads may take turns.
 """
@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.plans.pipeline import REJECTS, bronze_frame, bronze_schema, rejects, silver_load
+from strata.plans.pipeline import REJECTS, bronze_frame, rejects, silver_load
 from strata.registry import Registry, TableSpec, load_registry
 from strata.session import ensure_checkpoint_dir
 from strata.sources.landing import CORRUPT, configured_reader, landing_columns, landing_schema
 from strata.sources.store import TableStore
+from strata.streaming.ledger import close_files, new_files
 
 
 def _source(spark: SparkSession, spec: TableSpec, folder: str, multi_line: bool) -> DataFrame:
@@ -36,19 +37,20 @@ def _source(spark: SparkSession, spec: TableSpec, folder: str, multi_line: bool)
 def _batch_writer(spark: SparkSession, store: TableStore, spec: TableSpec, collapse: str, null_safe: bool):
     def write(batch: DataFrame, epoch: int) -> None:
         # A file is one batch of bronze whatever the epoch's number: a batch that is
-        # replayed, also after the checkpoint was reset, finds its files there.
+        # replayed, also after the checkpoint was reset, finds its files in the ledger.
         raw = store.stage(batch, f"stream-{spec.name}")
         whole = raw.where(F.col(CORRUPT).isNull())
         try:
-            if store.exists("bronze", spec.name):
-                done = store.read("bronze", spec.name, bronze_schema(spec)).select("_batch_id").distinct()
-                whole = whole.join(done, whole["_source_path"] == done["_batch_id"], "left_anti")
+            files = new_files(store, spec, raw.select(F.col("_source_path").alias("path")).distinct())
+            whole = whole.join(files, F.col("_source_path") == F.col("path"), "left_semi")
             frame = bronze_frame(whole, spec, F.col("_source_path"))
             bronze = store.stage(frame, f"stream-bronze-{spec.name}")
             store.append("bronze", spec.name, bronze, partition_by=spec.partition_by)
-            rejected = raw.where(F.col(CORRUPT).isNotNull())
+            rejected = raw.where(F.col(CORRUPT).isNotNull()) \
+                .join(files, F.col("_source_path") == F.col("path"), "left_semi")
             if not rejected.isEmpty():
                 store.append("control", REJECTS, rejects(rejected, spec, F.col("_source_path")))
+            close_files(store, spec, files)
             # silver takes what is in bronze and newer than its mark, as the batch form
             silver_load(spark, store, spec, collapse, null_safe)
         finally:
