@@ -74,3 +74,17 @@ def test_date_attributes(spark):
     assert r[1]["iso"] == 53
     assert r[2]["me"] is True and r[2]["ms"] is False
     assert [x["back"] for x in r] == [dt.date(2020, 1, 4), dt.date(2021, 1, 1), dt.date(2020, 2, 29)]
+
+
+def test_guarded_number_casts_equal_plain_ones(spark):
+    """The guards only spare failing casts: every odd spelling gives what the plain casts give."""
+    texts = [" 5 ", "5\n", "\x015\x7f", "+7", "-0", "-", "+", "", " ", "x", "٣", "1e3", "3.7", "-2.5", ".5", "5.", "1d", "1f ",
+             "inf", "-Infinity", "NaN", "1_000", "0x1F", "0x1p3", "99999999999", "2147483648",
+             "9223372036854775807", "9223372036854775808", "-9223372036854775809", None]
+    x = F.col("x")
+    number = F.when(~x.rlike(r"[dDfF]\s*$"), x.try_cast("double"))
+    plain = {"double": number, **{t: F.coalesce(x.try_cast(t), F.round(number).try_cast(t)) for t in ("integer", "bigint")}}
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for name, col in plain.items():
+        wrong = df.where(~typed_cast("x", name, df.schema["x"].dataType).eqNullSafe(col)).collect()
+        assert wrong == [], name
