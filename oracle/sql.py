@@ -413,3 +413,6 @@ def _staff_merge_sql(null_safe: bool) -> str:
 
 ORACLE["merge_null_keys"] = _staff_merge_sql(False)
 ORACLE["merge_null_safe"] = _staff_merge_sql(True)
+
+# A refresh from the changed months gives what a refresh of the whole fact gives.
+ORACLE["agg_monthly_billing_refreshed"] = ORACLE["agg_monthly_billing"]

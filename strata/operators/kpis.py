@@ -1,4 +1,4 @@
-"""KPI tables over the gold star schema (full refresh).
+"""KPI tables over the gold star schema, refreshed in full or from the partials of changed months.
 
 Each monthly KPI joins the fact to the date dimension (bounded by the number
 of calendar days, so it is broadcast), keeps shipped lines and aggregates
@@ -61,6 +61,45 @@ def monthly_measures(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     ])
 
 
+def partials(fact: DataFrame, dim_date: DataFrame, keep: list[str]) -> DataFrame:
+    """Mergeable sums per month and product, and per the columns ``keep`` (what the table of
+    partials is partitioned by): every KPI is a sum of these rows.  Lines that are not shipped
+    count in no sum, but their month has rows, so that it is known to have been read."""
+    shipped = _flag("is_shipped")
+
+    def of(value: Column, also: Column | None = None) -> Column:
+        return F.sum(F.when(shipped if also is None else shipped & also, value))
+
+    d = F.broadcast(dim_date.select("full_date", "date_key"))
+    lines = fact.join(d, "date_key", "left")
+    return lines.groupBy(*keep, F.trunc("full_date", "month").alias("month"), "product_id").agg(
+        F.count(F.when(shipped, 1)).alias("n_lines"),
+        of(F.col("quantity")).cast("bigint").alias("sum_quantity"),
+        of(F.col("gross_amount")).alias("sum_gross"),
+        of(F.col("discount") * F.col("gross_amount")).alias("sum_discount_value"),
+        F.count(F.when(shipped & _flag("sla_met"), 1)).alias("n_on_time"),
+        F.count(F.when(shipped & _flag("is_late"), 1)).alias("n_late"),
+        of(F.col("delay_days")).cast("bigint").alias("sum_delay"),
+        F.count(F.when(shipped, F.col("delay_days"))).alias("n_delay"),
+        of(F.col("delay_days"), _flag("is_late")).cast("bigint").alias("sum_late_delay"),
+        F.count(F.when(shipped & _flag("is_late"), F.col("delay_days"))).alias("n_late_delay"))
+
+
+def measures_of(parts: DataFrame) -> DataFrame:
+    """``monthly_measures`` from ``partials``."""
+    names = ["n_lines", "sum_gross", "sum_discount_value", "n_on_time", "n_late", "sum_delay", "n_delay",
+             "sum_late_delay", "n_late_delay"]
+    per_month = parts.where("n_lines > 0 AND month IS NOT NULL").groupBy("month").agg(
+        *[F.sum(c).alias(c) for c in names])
+    return per_month.select(year_month("month").alias("year_month"), *names)
+
+
+def revenue_of(parts: DataFrame) -> DataFrame:
+    """``product_revenue`` from ``partials``."""
+    return parts.where("n_lines > 0").groupBy("product_id").agg(
+        F.sum("sum_quantity").cast("bigint").alias("total_quantity"), F.sum("sum_gross").alias("total_revenue"))
+
+
 def _c(name: str) -> Column:
     return F.col(name)
 
@@ -120,6 +159,13 @@ def discount(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return discount_from(monthly_measures(fact, dim_date))
 
 
+def product_revenue(fact: DataFrame) -> DataFrame:
+    """Quantity and revenue of the shipped lines per product."""
+    return (fact.where(_flag("is_shipped")).groupBy("product_id")
+            .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
+                 F.sum("gross_amount").alias("total_revenue")))
+
+
 def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Revenue per product, its global rank and its share of all revenue.
 
@@ -128,9 +174,10 @@ def top_products(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     scalar subquery and the rank is computed without a single-partition
     window (``ranking.global_rank``).
     """
-    per_product = (fact.where(_flag("is_shipped")).groupBy("product_id")
-                   .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
-                        F.sum("gross_amount").alias("total_revenue")))
+    return top_products_from(product_revenue(fact), dim_product)
+
+
+def top_products_from(per_product: DataFrame, dim_product: DataFrame) -> DataFrame:
     p = dim_product.select("product_id", "product_name")
     agg = per_product.join(p, "product_id", "inner")
     # Read three times below (values, ranks, total): computed once, so that all

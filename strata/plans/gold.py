@@ -93,10 +93,11 @@ def build_gold(silver: dict[str, DataFrame], registry: Registry | None = None,
     return gold
 
 
-def build_kpis(gold: Mapping[str, DataFrame], measures: DataFrame | None = None) -> _Lazy:
+def build_kpis(gold: Mapping[str, DataFrame], measures: DataFrame | None = None,
+               per_product: DataFrame | None = None) -> _Lazy:
     """Every KPI table by name, planned when first used.  The monthly tables
     are projections of one monthly aggregate (``measures``; pass a staged
-    copy to compute it once for all five)."""
+    copy to compute it once for all five); ``per_product``: revenue per product."""
     shared: dict[str, DataFrame] = {}
 
     def monthly() -> DataFrame:
@@ -107,6 +108,8 @@ def build_kpis(gold: Mapping[str, DataFrame], measures: DataFrame | None = None)
 
     def build(name: str) -> DataFrame:
         if name == "agg_top_products":
+            if per_product is not None:
+                return kpis.top_products_from(per_product, gold["dim_product"])
             return kpis.top_products(gold["fact_sales"], gold["dim_product"])
         return kpis.FROM_MEASURES[name](monthly())
     return _Lazy(kpis.KPI_ORDER, build)

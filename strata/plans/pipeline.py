@@ -31,7 +31,7 @@ from strata.plans import gold as gold_plan
 from strata.plans.silver import silver_dataset
 from strata.registry import INGESTION_DATE, Registry, TableSpec, load_registry
 from strata.sources.landing import CORRUPT, landing_path, read_landing
-from strata.sources.store import HIDDEN, TableStore
+from strata.sources.store import HIDDEN, NULL_PARTITION, TableStore
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +43,8 @@ REJECTS = "rejected_rows"
 SILVER_PARTITIONS = ["year", "month"]
 # The fact is partitioned by the month of its date, a column of the store's own.
 FACT_MONTH = f"{HIDDEN}month"
+# Sums per month and product that the KPI tables are made from, partitioned like the fact.
+KPI_PARTIALS = "kpi_partials"
 # Silver tables the gold layer reads.
 GOLD_INPUTS = ["orders", "order_items", "customers", "staffs", "stores", "products",
                "categories", "brands"]
@@ -216,14 +218,52 @@ def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> di
 
 
 # --------------------------------------------------------------------- KPIs --
+def refresh_partials(store: TableStore) -> set[str] | None:
+    """Bring ``gold.kpi_partials`` up to date with the fact: the months whose partition has
+    another version than the one their partials were taken from are read again and replace
+    their old rows (so rows that were replaced or moved to another month need no retraction),
+    months that left the fact go.  Returns the months read; None when the fact has no month
+    partitions (the KPIs then take the whole fact).
+
+    A fact that is dropped and built anew starts its versions again: drop the partials with it."""
+    now = store.partition_versions("gold", "fact_sales", [FACT_MONTH])
+    if now is None:
+        return None
+    then: dict[str, int] = {}
+    if store.exists("gold", KPI_PARTIALS):
+        held = set(store.partition_versions("gold", KPI_PARTIALS, [FACT_MONTH]) or {})
+        # One row per month comes to the driver.
+        taken = store.read("gold", KPI_PARTIALS).select("fact_folder", "fact_version").distinct().collect()
+        then = {r["fact_folder"]: r["fact_version"] for r in taken if r["fact_folder"] in held}
+    changed = {p for p, v in now.items() if then.get(p) != v}
+    gone = set(then) - set(now)
+    if not changed and not gone:
+        return set()
+    fact = store.read_partitions("gold", "fact_sales", [FACT_MONTH], changed)
+    stamp = store.spark.createDataFrame([(p, now[p]) for p in sorted(changed)], "fact_folder string, fact_version int")
+    month = F.coalesce(F.col(FACT_MONTH).cast("string"), F.lit(NULL_PARTITION))
+    rows = kpis.partials(fact, store.read("gold", "dim_date"), [FACT_MONTH]) \
+        .withColumn("fact_folder", F.concat(F.lit(f"{FACT_MONTH}="), month)) \
+        .join(F.broadcast(stamp), "fact_folder")
+    store.replace_partitions("gold", KPI_PARTIALS, rows, [FACT_MONTH], changed | gone)
+    return changed
+
+
 def kpi_load(spark: SparkSession, store: TableStore) -> dict[str, int]:
-    """Full refresh of every KPI table; an empty result keeps the old one."""
+    """Refresh every KPI table; an empty result keeps the old one.  Only the months of the
+    fact that changed since the last refresh are read (``refresh_partials``); the tables
+    are sums of the partials per month and product."""
     gold = {n: store.read("gold", n) for n in ("fact_sales", "dim_date", "dim_product")}
-    # one pass over the fact for all five monthly tables
-    measures = store.stage(kpis.monthly_measures(gold["fact_sales"], gold["dim_date"]),
-                           "kpi-monthly")
+    per_product = None
+    if refresh_partials(store) is None:
+        # one pass over the fact for all five monthly tables
+        measures = kpis.monthly_measures(gold["fact_sales"], gold["dim_date"])
+    else:
+        parts = store.read("gold", KPI_PARTIALS)
+        measures, per_product = kpis.measures_of(parts), kpis.revenue_of(parts)
+    measures = store.stage(measures, "kpi-monthly")
     out = {}
-    for name, df in gold_plan.build_kpis(gold, measures).items():
+    for name, df in gold_plan.build_kpis(gold, measures, per_product).items():
         staged = store.stage(df, f"kpi-{name}")
         out[name] = n = staged.count()
         if n:

@@ -207,14 +207,7 @@ class TableStore:
     def _merge_touched(self, layer: str, table: str, incoming: DataFrame, keys: list[str],
                        hash_col: str | None, null_safe: bool, partition_by: list[str]) -> None:
         """Merge ``incoming`` and write the touched partitions as the next version."""
-        newest = self.versions(layer, table)[-1]
-        named = self._parts(layer, table)
-        if named is None:
-            whole = self.snapshot_path(layer, table)
-            live = dict.fromkeys(self._partition_folders(whole, len(partition_by)), newest)
-            schema = self.spark.read.parquet(whole).schema
-        else:
-            schema, live = named
+        schema, live = self._live(layer, table, partition_by)
         target = self._read_parts(layer, table, schema, live) if live else self.read(layer, table)
         if not live or len(set(live.values())) >= MAX_LIVE:
             # A table that was written without partitions stays so.
@@ -228,20 +221,62 @@ class TableStore:
                    rows.select(*partition_by).unionByName(replaced).distinct().collect()}
         if not touched:
             return
-        held = {p: v for p, v in live.items() if p in touched}
-        old = self._read_parts(layer, table, schema, held)
-        version = newest + 1
+        old = self._read_parts(layer, table, schema, {p: v for p, v in live.items() if p in touched})
+        self._write_touched(layer, table, merge_upsert(old, rows, keys, hash_col, null_safe), touched,
+                            schema, live, partition_by)
+
+    def _live(self, layer: str, table: str, partition_by: list[str]) -> tuple[T.StructType, dict[str, int]]:
+        """Schema, and partition folder -> version that holds it, of the newest snapshot."""
+        named = self._parts(layer, table)
+        if named is not None:
+            return named
+        whole = self.snapshot_path(layer, table)
+        folders = self._partition_folders(whole, len(partition_by))
+        return self.spark.read.parquet(whole).schema, dict.fromkeys(folders, self.versions(layer, table)[-1])
+
+    def _write_touched(self, layer: str, table: str, df: DataFrame, touched: set[str], schema: T.StructType,
+                       live: dict[str, int], partition_by: list[str]) -> None:
+        """The next version: ``df`` in place of the ``touched`` partitions, the others as they are."""
+        version = self.versions(layer, table)[-1] + 1
         path = f"{self.path(layer, table)}/v{version:08d}"
         if self._exists(path):  # left by a failed merge: never visible
             fs, p = self._hpath(path)
             fs.delete(p, True)
         self._put(f"{path}/_partial", "")
-        rebalanced(merge_upsert(old, rows, keys, hash_col, null_safe), partition_by) \
-            .write.mode("append").partitionBy(*partition_by).parquet(path)
+        rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
         now = {p: v for p, v in live.items() if p not in touched}
         now.update(dict.fromkeys(self._partition_folders(path, len(partition_by)), version))
         self._put(f"{path}/_parts", json.dumps({"schema": schema.jsonValue(), "live": now}, sort_keys=True))
 
+    def partition_versions(self, layer: str, table: str, partition_by: list[str]) -> dict[str, int] | None:
+        """Partition folder -> version that wrote it: a partition has changed exactly when its
+        number has (a whole rewrite renumbers all).  None where the table has no such
+        folders: it was written unpartitioned, or as Delta."""
+        if self.format == "delta":
+            return None
+        return self._live(layer, table, partition_by)[1] or None
+
+    def read_partitions(self, layer: str, table: str, partition_by: list[str], folders: set[str]) -> DataFrame:
+        """These partitions alone, the store's own columns included."""
+        schema, live = self._live(layer, table, partition_by)
+        return self._read_parts(layer, table, schema, {p: v for p, v in live.items() if p in folders})
+
+    def replace_partitions(self, layer: str, table: str, df: DataFrame, partition_by: list[str],
+                           folders: set[str]) -> None:
+        """``df`` takes the place of the partitions ``folders``, which must include all that it
+        has rows in; a folder without rows goes.  One version, visible when whole."""
+        if not self.exists(layer, table):
+            self.write_snapshot(layer, table, df, partition_by)
+            return
+        schema, live = self._live(layer, table, partition_by)
+        kept = {p: v for p, v in live.items() if p not in folders}
+        if not live or len(set(live.values())) >= MAX_LIVE:
+            whole = self._read_parts(layer, table, schema, kept).unionByName(df) if kept else df
+            self.write_snapshot(layer, table, whole, partition_by)
+        else:
+            self._write_touched(layer, table, df.select(*schema.fieldNames()), folders, schema, live, partition_by)
+        self.vacuum(layer, table)
+
     def write_snapshot(self, layer: str, table: str, df: DataFrame,
                        partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next snapshot; returns its version number."""
