@@ -63,7 +63,7 @@ def monthly_measures(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def partials(fact: DataFrame, dim_date: DataFrame, keep: list[str]) -> DataFrame:
     """Mergeable sums per month and product, and per the columns ``keep`` (what the table of
-    partials is partitioned by): every KPI is a sum of these rows.  Lines that are not shipped
+    partials is partitioned by, in whose ranges the rows come): every KPI is a sum of these rows.  Lines that are not shipped
     count in no sum, but their month has rows, so that it is known to have been read."""
     shipped = _flag("is_shipped")
 
@@ -71,7 +71,12 @@ def partials(fact: DataFrame, dim_date: DataFrame, keep: list[str]) -> DataFrame
         return F.sum(F.when(shipped if also is None else shipped & also, value))
 
     d = F.broadcast(dim_date.select("full_date", "date_key"))
-    lines = fact.join(d, "date_key", "left")
+    # Most lines are their month's only ones of the product, so combining before the shuffle
+    # gains nothing.  The slim lines are dealt by ranges of what the rows are written and
+    # grouped by: one shuffle, and few folders to a task.
+    slim = fact.select(*dict.fromkeys([*keep, "date_key", "product_id", "is_shipped", "quantity", "gross_amount",
+                                       "discount", "sla_met", "is_late", "delay_days"]))
+    lines = slim.repartitionByRange(*keep, "product_id").join(d, "date_key", "left")
     return lines.groupBy(*keep, F.trunc("full_date", "month").alias("month"), "product_id").agg(
         F.count(F.when(shipped, 1)).alias("n_lines"),
         of(F.col("quantity")).cast("bigint").alias("sum_quantity"),

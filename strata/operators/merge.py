@@ -27,6 +27,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _S, _HIT = "__s_", "__s_present"
 
@@ -36,10 +37,21 @@ def _key_condition(keys: list[str], null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
+def hashable(kind: T.DataType) -> bool:
+    """Whether equal values of the type always have equal hashes (not so for
+    text under a collation)."""
+    return kind == T.StringType() or isinstance(kind, (
+        T.BooleanType, T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def require_unique(source: DataFrame, keys: list[str], null_safe: bool = True) -> None:
     """Raise when a key occurs twice in ``source`` (one aggregation; one row comes
     back).  Under plain ``=`` a key with a NULL matches nothing and may repeat."""
     rows = source if null_safe else source.dropna(subset=keys)
+    # Equal keys have equal hashes, and a hash is less to shuffle than the key.
+    if all(hashable(source.schema[k].dataType) for k in keys) and \
+            rows.groupBy(F.xxhash64(*keys).alias("h")).count().where("count > 1").isEmpty():
+        return
     twice = rows.groupBy(*keys).count().where("count > 1").first()
     if twice is not None:
         raise ValueError(f"merge source has {twice['count']} rows for key "
@@ -69,6 +81,32 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str],
     return kept.unionByName(new)
 
 
+def key_matches(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool,
+                place: list[str]) -> DataFrame:
+    """Per key hash that is in ``source`` twice, or in ``source`` and ``target``: its rows on
+    either side (``n_s``, ``n_t``), and where those are (``s_`` and ``t_`` + ``place``; of one
+    row, if there are several).  A hash and a place per row are all that is shuffled."""
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
+        rows = df if null_safe else df.dropna(subset=keys)
+        return rows.select(F.xxhash64(*keys).alias("h"), F.lit(1).alias(f"n_{own}"), F.lit(0).alias(f"n_{other}"),
+                           *[F.col(p).alias(f"{own}_{p}") for p in place],
+                           *[F.lit(None).cast(df.schema[p].dataType).alias(f"{other}_{p}") for p in place])
+
+    both = side(source, "s", "t").unionByName(side(target, "t", "s"))
+    per_key = both.groupBy("h").agg(F.sum("n_s").alias("n_s"), F.sum("n_t").alias("n_t"),
+                                    *[F.max(f"{x}_{p}").alias(f"{x}_{p}") for x in "st" for p in place])
+    return per_key.where("n_s > 1 OR n_s = 1 AND n_t > 0")
+
+
+def kept_rows(target: DataFrame, source: DataFrame, matches: DataFrame, keys: list[str], null_safe: bool,
+              place: list[str]) -> DataFrame:
+    """The rows of ``target`` without a key in ``source``; ``matches``: their ``key_matches``,
+    which tell in which places of ``source`` such a key can be."""
+    at = F.broadcast(matches.select(*[F.col(f"s_{p}") for p in place]).distinct())
+    s = source.join(at, reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"s_{p}")) for p in place]), "left_semi")
+    return target.join(s.select(*[F.col(k).alias(_S + k) for k in keys]), _key_condition(keys, null_safe), "left_anti")
+
+
 def effective_rows(target: DataFrame, source: DataFrame, keys: list[str], hash_col: str | None,
                    null_safe: bool, place: list[str]) -> tuple[DataFrame, DataFrame]:
     """What a merge does to ``target``, from its keys, hash and ``place`` columns alone:

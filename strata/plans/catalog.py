@@ -87,17 +87,20 @@ def agg_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     {"total_revenue": 2, "revenue_share": 10})
 
 
-def _refreshed_partials(spark: SparkSession, g: dict[str, DataFrame]) -> DataFrame:
+def _refreshed_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The KPI partials after two loads of a month-partitioned fact: orders before the cut-off,
     then the rest with a reload of the last RELOAD_DAYS before it.  The second refresh reads
     only the months that the second load wrote."""
+    silver = tpch.model_tables(spark, sf_dir)
+    g = gold_plan.build_dimensions(silver)
     store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-kpi-{uuid.uuid4().hex}")
     store.write_snapshot("gold", "dim_date", g["dim_date"])
-    fact = store.stage(g["fact_sales"].withColumn(FACT_MONTH, F.floor(F.col("date_key") / 100).cast("int")), "fact")
+    fact = store.stage(gold_plan.build_fact(silver, g, as_of=AS_OF, month=FACT_MONTH), "fact")
     cut = int(ORDERS_CUTOFF.strftime("%Y%m%d"))
     reload = int((ORDERS_CUTOFF - dt.timedelta(RELOAD_DAYS)).strftime("%Y%m%d"))
     for load in (fact.where(F.col("date_key") < cut), fact.where(F.col("date_key") >= reload)):
-        store.upsert("gold", "fact_sales", load, gold_plan.GOLD_KEYS["fact_sales"], partition_by=[FACT_MONTH])
+        store.upsert("gold", "fact_sales", load, gold_plan.GOLD_KEYS["fact_sales"], partition_by=[FACT_MONTH],
+                     dealt=True)
         refresh_partials(store)
     out = store.read("gold", KPI_PARTIALS)
     store.drop_staged()
@@ -105,7 +108,7 @@ def _refreshed_partials(spark: SparkSession, g: dict[str, DataFrame]) -> DataFra
 
 
 def agg_monthly_billing_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _refreshed_partials(spark, _gold(spark, sf_dir))
+    parts = _refreshed_partials(spark, sf_dir)
     return _rounded(kpis.billing_from(kpis.measures_of(parts)), {"total_billing": 2})
 
 

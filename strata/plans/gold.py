@@ -76,10 +76,10 @@ def build_dimensions(silver: Mapping[str, DataFrame], last_date: dt.date | None
 
 def build_fact(silver: dict[str, DataFrame], gold: dict[str, DataFrame],
                registry: Registry | None = None, last_date: dt.date | None = None,
-               as_of: dt.date | None = None) -> DataFrame:
+               as_of: dt.date | None = None, month: str | None = None) -> DataFrame:
     return facts.fact_sales(silver["order_items"], silver["orders"], gold["dim_date"],
                             gold["dim_customer"], gold["dim_store"], gold["dim_staff"],
-                            registry or load_registry(), last_processed=last_date, as_of=as_of)
+                            registry or load_registry(), last_processed=last_date, as_of=as_of, month=month)
 
 
 def build_gold(silver: dict[str, DataFrame], registry: Registry | None = None,

@@ -205,11 +205,12 @@ def gold_load(spark: SparkSession, store: TableStore, cfg: PipelineConfig) -> di
 
     gold = {n: store.read("gold", n) for n in ("dim_date", "dim_customer", "dim_store",
                                                 "dim_staff")}
-    fact = gold_plan.build_fact(silver, gold, cfg.registry, as_of=cfg.as_of)
-    staged = store.stage(fact.withColumn(FACT_MONTH, F.floor(F.col("date_key") / 100).cast("int")), "gold-fact_sales")
+    fact = gold_plan.build_fact(silver, gold, cfg.registry, as_of=cfg.as_of, month=FACT_MONTH)
+    staged = store.stage(fact, "gold-fact_sales")
     out["fact_sales"] = n = staged.count()
     if n:
-        store.upsert("gold", "fact_sales", staged, gold_plan.GOLD_KEYS["fact_sales"], partition_by=[FACT_MONTH])
+        store.upsert("gold", "fact_sales", staged, gold_plan.GOLD_KEYS["fact_sales"], partition_by=[FACT_MONTH],
+                     dealt=True)
         date = staged.agg(key_to_date(F.max("date_key"))).first()[0]
         set_gold_mark(spark, store, "fact_sales", date if last is None else max(last, date))
     if newest is not None:
@@ -245,7 +246,7 @@ def refresh_partials(store: TableStore) -> set[str] | None:
     rows = kpis.partials(fact, store.read("gold", "dim_date"), [FACT_MONTH]) \
         .withColumn("fact_folder", F.concat(F.lit(f"{FACT_MONTH}="), month)) \
         .join(F.broadcast(stamp), "fact_folder")
-    store.replace_partitions("gold", KPI_PARTIALS, rows, [FACT_MONTH], changed | gone)
+    store.replace_partitions("gold", KPI_PARTIALS, rows, [FACT_MONTH], changed | gone, dealt=True)
     return changed
 
 

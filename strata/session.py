@@ -98,10 +98,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def parquet_codec(spark: SparkSession) -> str:
+    """The codec that cluster or session names, else the library's default."""
+    key = "spark.sql.parquet.compression.codec"
+    if spark._jsparkSession.sessionState().conf().contains(key):
+        return spark.conf.get(key)
+    return spark.sparkContext.getConf().get(key, SQL_DEFAULTS[key])
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts the
     lineage, survives a lost executor, and gives the planner the real size."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata-stage/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=parquet_codec(spark))
     return spark.read.schema(df.schema).parquet(path)

@@ -34,8 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.merge import effective_rows, merge_upsert, require_unique
-from strata.session import ensure_checkpoint_dir
+from strata.operators.merge import (
+    effective_rows,
+    hashable,
+    kept_rows,
+    key_matches,
+    merge_upsert,
+    require_unique,
+)
+from strata.session import ensure_checkpoint_dir, parquet_codec
 
 LAYERS = ("bronze", "silver", "gold", "control")
 _VERSION = re.compile(r"^v(\d{8})$")
@@ -205,11 +212,16 @@ class TableStore:
         return "/".join(f"{n}={NULL_PARTITION if row[n] is None else escape(str(row[n]))}" for n in names)
 
     def _merge_touched(self, layer: str, table: str, incoming: DataFrame, keys: list[str],
-                       hash_col: str | None, null_safe: bool, partition_by: list[str]) -> None:
+                       hash_col: str | None, null_safe: bool, partition_by: list[str], dealt: bool) -> None:
         """Merge ``incoming`` and write the touched partitions as the next version."""
         schema, live = self._live(layer, table, partition_by)
         target = self._read_parts(layer, table, schema, live) if live else self.read(layer, table)
-        if not live or len(set(live.values())) >= MAX_LIVE:
+        whole = not live or len(set(live.values())) >= MAX_LIVE
+        if not whole and hash_col is None and self._merge_all(layer, table, target, incoming, keys, null_safe,
+                                                              partition_by, dealt, schema, live):
+            return
+        require_unique(incoming, keys, null_safe)
+        if whole:
             # A table that was written without partitions stays so.
             merged = merge_upsert(target, incoming, keys, hash_col, null_safe)
             self.write_snapshot(layer, table, merged, partition_by if live else None)
@@ -225,6 +237,31 @@ class TableStore:
         self._write_touched(layer, table, merge_upsert(old, rows, keys, hash_col, null_safe), touched,
                             schema, live, partition_by)
 
+    def _merge_all(self, layer: str, table: str, target: DataFrame, incoming: DataFrame, keys: list[str],
+                   null_safe: bool, partition_by: list[str], dealt: bool, schema: T.StructType,
+                   live: dict[str, int]) -> bool:
+        """A merge that takes every incoming row: nothing wide moves but the touched partitions'
+        other rows, and the incoming ones where they are not dealt yet.  False (and nothing is
+        done) where it does not apply: other column types, or a key (or key hash) that is
+        repeated on either side."""
+        types = {f.name: f.dataType for f in incoming.schema}
+        if any(types.get(f.name) != f.dataType for f in target.schema) or not all(hashable(types[k]) for k in keys):
+            return False
+        matches = self.stage(key_matches(target, incoming, keys, null_safe, partition_by), f"{table}-matches")
+        if not matches.where("n_s > 1 OR n_t > 1").isEmpty():
+            return False
+        # One row per partition comes to the driver.
+        places = incoming.select(*partition_by).unionByName(
+            matches.select(*[F.col(f"t_{p}").alias(p) for p in partition_by]))
+        touched = {self._folder_of(partition_by, r) for r in places.distinct().collect()}
+        if touched:
+            old = self._read_parts(layer, table, schema, {p: v for p, v in live.items() if p in touched})
+            kept = kept_rows(old, incoming, matches, keys, null_safe, partition_by)
+            kept = rebalanced(kept, partition_by) if dealt else kept
+            self._write_touched(layer, table, kept.unionByName(incoming.select(*target.columns)), touched, schema,
+                                live, partition_by, dealt)
+        return True
+
     def _live(self, layer: str, table: str, partition_by: list[str]) -> tuple[T.StructType, dict[str, int]]:
         """Schema, and partition folder -> version that holds it, of the newest snapshot."""
         named = self._parts(layer, table)
@@ -235,7 +272,7 @@ class TableStore:
         return self.spark.read.parquet(whole).schema, dict.fromkeys(folders, self.versions(layer, table)[-1])
 
     def _write_touched(self, layer: str, table: str, df: DataFrame, touched: set[str], schema: T.StructType,
-                       live: dict[str, int], partition_by: list[str]) -> None:
+                       live: dict[str, int], partition_by: list[str], dealt: bool = False) -> None:
         """The next version: ``df`` in place of the ``touched`` partitions, the others as they are."""
         version = self.versions(layer, table)[-1] + 1
         path = f"{self.path(layer, table)}/v{version:08d}"
@@ -243,7 +280,8 @@ class TableStore:
             fs, p = self._hpath(path)
             fs.delete(p, True)
         self._put(f"{path}/_partial", "")
-        rebalanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+        df = df if dealt else rebalanced(df, partition_by)
+        df.write.mode("append").partitionBy(*partition_by).parquet(path, compression=parquet_codec(self.spark))
         now = {p: v for p, v in live.items() if p not in touched}
         now.update(dict.fromkeys(self._partition_folders(path, len(partition_by)), version))
         self._put(f"{path}/_parts", json.dumps({"schema": schema.jsonValue(), "live": now}, sort_keys=True))
@@ -262,11 +300,12 @@ class TableStore:
         return self._read_parts(layer, table, schema, {p: v for p, v in live.items() if p in folders})
 
     def replace_partitions(self, layer: str, table: str, df: DataFrame, partition_by: list[str],
-                           folders: set[str]) -> None:
+                           folders: set[str], dealt: bool = False) -> None:
         """``df`` takes the place of the partitions ``folders``, which must include all that it
-        has rows in; a folder without rows goes.  One version, visible when whole."""
+        has rows in; a folder without rows goes.  One version, visible when whole.
+        ``dealt``: see ``upsert``."""
         if not self.exists(layer, table):
-            self.write_snapshot(layer, table, df, partition_by)
+            self.write_snapshot(layer, table, df, partition_by, dealt)
             return
         schema, live = self._live(layer, table, partition_by)
         kept = {p: v for p, v in live.items() if p not in folders}
@@ -274,12 +313,13 @@ class TableStore:
             whole = self._read_parts(layer, table, schema, kept).unionByName(df) if kept else df
             self.write_snapshot(layer, table, whole, partition_by)
         else:
-            self._write_touched(layer, table, df.select(*schema.fieldNames()), folders, schema, live, partition_by)
+            self._write_touched(layer, table, df.select(*schema.fieldNames()), folders, schema, live, partition_by,
+                                dealt)
         self.vacuum(layer, table)
 
     def write_snapshot(self, layer: str, table: str, df: DataFrame,
-                       partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next snapshot; returns its version number."""
+                       partition_by: list[str] | None = None, dealt: bool = False) -> int:
+        """Write ``df`` as the next snapshot; returns its version number.  ``dealt``: see ``upsert``."""
         if self.format == "delta":
             w = df.write.format("delta").mode("overwrite").option("overwriteSchema", True)
             if partition_by:
@@ -288,10 +328,10 @@ class TableStore:
             return -1
         vs = self.versions(layer, table)
         version = (vs[-1] + 1) if vs else 1
-        w = rebalanced(df, partition_by).write.mode("errorifexists")
+        w = (df if dealt else rebalanced(df, partition_by)).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.path(layer, table)}/v{version:08d}")
+        w.parquet(f"{self.path(layer, table)}/v{version:08d}", compression=parquet_codec(self.spark))
         return version
 
     def append(self, layer: str, table: str, df: DataFrame,
@@ -306,19 +346,22 @@ class TableStore:
 
     def upsert(self, layer: str, table: str, incoming: DataFrame, keys: list[str],
                hash_col: str | None = None, null_safe: bool = True,
-               partition_by: list[str] | None = None) -> None:
+               partition_by: list[str] | None = None, dealt: bool = False) -> None:
         """Create the table from ``incoming``, or merge ``incoming`` into it
         (see ``operators.merge.merge_upsert`` for the semantics; ``incoming`` is
         read several times, so stage it).  Fails when a key occurs twice in it.
-        Old snapshots but the last two go."""
+        Old snapshots but the last two go.
+        ``dealt``: each task of ``incoming`` holds few partitions (it is a staged
+        ``rebalanced``), so its rows are written without another shuffle."""
+        if partition_by and self.format != "delta" and self.exists(layer, table):
+            self._merge_touched(layer, table, incoming, keys, hash_col, null_safe, partition_by, dealt)
+            self.vacuum(layer, table)
+            return
         require_unique(incoming, keys, null_safe)
         if not self.exists(layer, table):
-            self.write_snapshot(layer, table, incoming, partition_by)
+            self.write_snapshot(layer, table, incoming, partition_by, dealt)
         elif self.format == "delta":
             _delta_merge(self.spark, self.path(layer, table), incoming, keys, hash_col, null_safe)
-        elif partition_by:
-            self._merge_touched(layer, table, incoming, keys, hash_col, null_safe, partition_by)
-            self.vacuum(layer, table)
         else:
             merged = merge_upsert(self.read(layer, table), incoming, keys, hash_col, null_safe)
             self.write_snapshot(layer, table, merged, partition_by)
@@ -337,7 +380,7 @@ class TableStore:
         return a frame that reads it back (lineage cut; survives executor loss)."""
         base = ensure_checkpoint_dir(self.spark).rstrip("/")
         path = f"{base}/strata-stage/{label}-{uuid.uuid4().hex}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("errorifexists").parquet(path, compression=parquet_codec(self.spark))
         self._staged.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from strata.operators import kpis
 from strata.plans import gold as gold_plan
 from strata.plans.pipeline import FACT_MONTH, KPI_PARTIALS, kpi_load, refresh_partials
 from strata.sources import store as S
+from strata.sources import tpch
 from strata.sources.store import TableStore
 
 FACT = ("order_id int, item_id int, product_id int, date_key int, quantity int, gross_amount double, "
@@ -97,3 +99,32 @@ def test_a_fact_without_partitions_is_read_whole(spark, store):
     kpi_load(spark, store)
     assert not store.exists("gold", KPI_PARTIALS)
     assert set(kpis.KPI_ORDER) <= set(store.list_names(store.path("gold", "")))
+
+
+def _exchanges(df):
+    """(arguments, input columns) of every shuffle of the plan."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    found = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: (.*)", text)
+    return [(args, {c.split("#")[0] for c in cols.split(", ")}) for cols, args in found]
+
+
+def test_partials_shuffle_slim_lines_once(spark, store):
+    _load(spark, store, [_line(random.Random(5), i) for i in range(20)])
+    fact = store.read_partitions("gold", "fact_sales", [FACT_MONTH],
+                                 set(store.partition_versions("gold", "fact_sales", [FACT_MONTH])))
+    found = _exchanges(kpis.partials(fact, store.read("gold", "dim_date"), [FACT_MONTH]))
+    assert len(found) == 1 and "rangepartitioning" in found[0][0]
+
+
+def test_lines_are_not_shuffled_by_customer_nor_with_computed_amounts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    silver = tpch.model_tables(spark, "/root/testdata/sf0.001")
+    gold = gold_plan.build_gold(silver, as_of=dt.date(2001, 1, 1))
+    fact = gold_plan.build_fact(silver, gold, as_of=dt.date(2001, 1, 1), month=FACT_MONTH)
+    found = _exchanges(fact)
+    assert any("customer_id" in args for args, _ in found)
+    assert not [args for args, cols in found if "customer" in args and "quantity" in cols]
+    assert not [cols for _, cols in found if {"gross_amount", "net_amount", "total_item_amount"} & cols]
+    # the same rows, and the month
+    assert _rows(fact.drop(FACT_MONTH)) == _rows(gold["fact_sales"])
+    assert fact.where(f"{FACT_MONTH} <> date_key div 100").isEmpty()

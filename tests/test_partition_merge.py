@@ -92,3 +92,34 @@ def test_hidden_partition_columns_are_left_out(spark, scratch):
     store.upsert("gold", "t", store.stage(df.withColumn("h", F.lit("z")).limit(1)), ["id"], None, True, [f"{HIDDEN}m"])
     assert f"{HIDDEN}m" not in store.read("gold", "t").columns
     assert store.read("gold", "t").where("h = 'z'").count() == 1
+
+
+def test_a_merge_of_all_rows_stages_keys_alone(spark, scratch, monkeypatch):
+    """Rows that come without a hash all count: they are not joined again to learn so."""
+    store, staged = TableStore(spark, scratch), []
+    rows = [(i, "x", f"v{i}", "h", 2020 + i % 3, 1) for i in range(30)]
+    store.write_snapshot("silver", "t", _frame(spark, rows), BY)
+    load = _frame(spark, [(0, "x", "w", "h", 2022, 1), (90, None, "n", "h", 2021, 1)])
+    load.write.parquet(f"{scratch}/load")
+    load = spark.read.parquet(f"{scratch}/load")
+    put = store.stage
+    monkeypatch.setattr(store, "stage", lambda df, label="stage": staged.append(df.columns) or put(df, label))
+    store.upsert("silver", "t", load, ["id", "sub"], partition_by=BY)
+    assert staged and not [c for c in staged if "v" in c]
+    want = [r for r in rows if r[0]] + [tuple(r) for r in load.collect()]
+    assert _rows(store.read("silver", "t")) == _rows(_frame(spark, want))
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_a_merge_of_all_rows_into_repeated_keys(spark, scratch, null_safe):
+    """Repeated target rows of a key are each replaced, in whatever partitions they lie."""
+    store = TableStore(spark, scratch)
+    rows = [(1, "x", "a", "h", 2020, 1), (1, "x", "b", "h", 2021, 1), (2, None, "c", "h", 2021, 2), (3, "x", "d", "h", 2022, 1)]
+    store.write_snapshot("silver", "t", _frame(spark, rows), BY)
+    load = store.stage(_frame(spark, [(1, "x", "n", "h", 2022, 1), (2, None, "m", "h", 2020, 1)]))
+    want = _frame(spark, [tuple(r) for r in merge_upsert(_frame(spark, rows), load, ["id", "sub"], None, null_safe).collect()])
+    store.upsert("silver", "t", load, ["id", "sub"], None, null_safe, BY)
+    assert _rows(store.read("silver", "t")) == _rows(want)
+    with pytest.raises(ValueError, match="2 rows"):
+        store.upsert("silver", "t", store.stage(load.where("id = 1").unionByName(load.where("id = 1"))), ["id", "sub"],
+                     None, null_safe, BY)
