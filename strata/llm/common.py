@@ -52,6 +52,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# What this process, a Python worker, keeps from task to task.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """``make()``, kept for the worker's next tasks until another key is asked for: workers
+    serve one operator after the other, and hold what one of them needs, not all."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Give back what an earlier operator's tasks kept; for operators that keep nothing."""
+    if _KEPT:
+        import gc
+
+        import pyarrow as pa
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` to a lambda variable, so that ``body`` may use it many
     times (also inside other lambdas) while it is computed once per row."""

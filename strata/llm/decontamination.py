@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import kept
+
 MAX_EDITS = 0.2
 # Items of so many words are searched by walks, shorter ones word by word.
 WINDOW_WORDS = 5
@@ -281,16 +283,9 @@ class Index:
                     yield row, item_id, best[0], len(item), best[1]
 
 
-_INDEXES: dict[int, Index] = {}
-
-
 def index_of(items: tuple[tuple[int, str | None], ...], min_words: int) -> Index:
     """One index per worker process and block of items."""
-    key = hash((items, min_words))
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = Index(list(items), min_words)
-    return _INDEXES[key]
+    return kept(("index", hash((items, min_words))), lambda: Index(list(items), min_words))
 
 
 def item_blocks(benchmark: DataFrame, item_id_col: str, item_text_col: str,

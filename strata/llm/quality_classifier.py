@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import free_name, stage
+from strata.llm.common import free_name, release, stage
 
 FIT_ROWS = 6000
 ROUNDS = 3
@@ -334,6 +334,7 @@ def digests(docs: DataFrame, labels: DataFrame, fitted: list, telling: np.ndarra
         .add("w", "binary").add("s", T.ArrayType(T.DoubleType())).add("ml", "integer").add("ms", "integer").add("mn", "double")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             w, shapes = [], []
             for text in batch.column(1).to_pylist():
@@ -462,6 +463,7 @@ def scored(docs: DataFrame, model: CoTrained | None, name: str, *, text_col: str
     @F.pandas_udf(kind)
     def of(texts, langs, sources, lengths):
         import pandas as pd
+        release()
         blank = lambda s: [None if pd.isna(v) else v for v in s]
         parts = []
         for at in range(0, len(texts), 256):

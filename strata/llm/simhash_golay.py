@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import free_name, stage
+from strata.llm.common import free_name, release, stage
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -70,10 +70,11 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text_col: str, name: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    @F.pandas_udf(T.LongType())
-    def of(texts):
-        import pandas as pd
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64))
+    # Arrow texts become Python strings one by one, not a whole batch of them at once.
+    @F.arrow_udf(T.LongType())
+    def of(texts: pa.Array) -> pa.Array:
+        release()
+        return _signed([fingerprint(t.as_py(), words) for t in texts])
 
     return docs.withColumn(name, of(F.col(text_col)))
 
@@ -209,6 +210,7 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"the keys find at most {MAX_BITS} differing bits")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for at in range(0, len(fp), 4096):
@@ -216,6 +218,7 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), _signed(whose)], ["key", "fp"])
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         joined = Joined()
         open_key, open_group = None, []
 

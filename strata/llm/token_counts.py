@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import kept
 from strata.llm.tokens import BYTE_LEVEL_PIECES, MAX_PIECE_CHARS, WHITE
 
 # Pre-token pattern of byte-level BPE.
@@ -160,13 +161,8 @@ class Counter:
         return out
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
+    return kept(("counter", path), lambda: Counter(path))
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, *, limit: int = 512, id_col: str = "doc_id",

@@ -15,6 +15,8 @@ from itertools import chain
 
 import numpy as np
 
+from strata.llm.common import kept
+
 # The characters that the tokenizers' \\s matches (White_Space).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # for a character class
 # Bytes of a worker's table, both generations; an entry counts its strings and ENTRY.
@@ -117,13 +119,6 @@ class Encoder:
         return done
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, kind: str, table_bytes: int = TABLE_BYTES) -> Encoder:
     """One encoder per worker process; another tokenizer or size replaces it."""
-    key = (path, kind, table_bytes)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(*key)
-    return _ENCODERS[key]
+    return kept(("encoder", path, kind, table_bytes), lambda: Encoder(path, kind, table_bytes))

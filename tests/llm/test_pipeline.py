@@ -108,3 +108,26 @@ def test_run_on_empty_tables(spark, corpus, scratch):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{scratch}/{t}.parquet")
     assert P.run(spark, scratch).count() == 0
+
+
+def test_a_worker_holds_what_one_operator_needs():
+    """Workers serve all stages: a stage must not hold the tables of the stages before it."""
+    import gc
+    import weakref
+
+    import public_tokenizers
+
+    from strata.llm import common, decontamination, token_counts, tokens
+    path = public_tokenizers.path("word_bpe_49k.json")
+    made = [lambda: tokens.encoder(path, "word", 1 << 20), lambda: decontamination.index_of(((1, "a b c d e f"),), 1),
+            lambda: token_counts.counter(public_tokenizers.path("byte_bpe_50k.json"))]
+    for make, other in zip(made, made[1:] + made[:1]):
+        first = make()
+        assert make() is first
+        held = weakref.ref(first)
+        del first
+        other()
+        gc.collect()
+        assert held() is None
+    common.release()
+    assert not common._KEPT
